@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from stocklens.config import DEFAULTS, Settings
 from stocklens.functions.scalar import KEYS, as_of_or_max, clip, exact_std, safe_divide
 from stocklens.operators.latest import last_non_null
+from stocklens.sources.scratch import materialize
 
 # Model inputs, in order, and the target.
 FEATURE_COLS = (
@@ -69,11 +70,18 @@ def supplier_performance(po: DataFrame) -> DataFrame:
     )
 
 
-def _encode(df: DataFrame, column: str) -> DataFrame:
-    """Alphabetical label code; nulls count as "C". The label set has at most ten values."""
-    filled = F.coalesce(column, F.lit("C"))
-    labels = df.select(filled.alias("v")).distinct().select(F.array_sort(F.collect_list("v"))).scalar()
-    return df.withColumn(column, (F.array_position(labels, filled) - 1).cast("int"))
+def _encode(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Alphabetical label codes; nulls count as "C". A label set has at most ten values.
+
+    The labels depend on which keys found a class, so the joined rows are written
+    once and the three label sets come from one small aggregate over them.
+    """
+    base = materialize(df.withColumns({c: F.coalesce(c, F.lit("C")) for c in columns}), "features")
+    sets = F.struct(*[F.array_sort(F.collect_set(c)).alias(c) for c in columns])
+    labels = base.select(sets).scalar()
+    return base.withColumns(
+        {c: (F.array_position(labels.getField(c), F.col(c)) - 1).cast("int") for c in columns}
+    )
 
 
 def build_features(
@@ -124,8 +132,7 @@ def build_features(
     if abc_xyz is not None:
         classes = ["abc_class", "xyz_class", "combined_class"]
         df = df.join(abc_xyz.select(*keys, *classes), keys, "left")
-        for c in classes:
-            df = _encode(df, c)
+        df = _encode(df, classes)
     else:
         df = df.withColumns({"abc_class": F.lit(2), "xyz_class": F.lit(2), "combined_class": F.lit(8)})
     short = F.col("qty_available") < F.col("avg_daily_demand_30d") * s.label_days

@@ -102,15 +102,20 @@ def row_rank(df: DataFrame, order_by: Sequence[Column], out: str = "row_rank") -
     return ranked.withColumn(out, F.col(out) - 1)
 
 
-def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Mapping[str, float]) -> DataFrame:
+def exact_quantiles(
+    df: DataFrame, keys: Sequence[str], value: str, probs: Mapping[str, float], weight: str | None = None
+) -> DataFrame:
     """Exact quantiles per key with linear interpolation between neighbours.
 
+    ``weight`` names a repeat count when ``df`` is already a histogram.
+
     The rows are first reduced to a (key, value) histogram with map-side combine;
     ranks come from a chunked prefix sum over it, so a hot key is neither sorted
     nor held in memory by a single task.
     """
     keys = list(keys)
-    histogram = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
+    repeats = F.sum(weight) if weight else F.count(F.lit(1))
+    histogram = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(repeats.alias("_n"))
     ranked = prefix_sum(histogram, {"_upto": "_n"}, [F.col(value).asc()], keys)
     sizes = ranked.groupBy(*keys).agg(F.sum("_n").alias("_size"))
     # The prefix sum is over a written table, so both branches read the same rows.
