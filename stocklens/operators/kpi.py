@@ -88,7 +88,7 @@ def fill_rate(sales: DataFrame, dealers: DataFrame, as_of=None, days: int = 90)
     )
 
 
-def _stock_by_movement(inventory: DataFrame, sales: DataFrame, as_of) -> DataFrame:
+def stock_with_movement(inventory: DataFrame, sales: DataFrame, as_of) -> DataFrame:
     """Latest stock per part and dealer with days since the last sale (or movement)."""
     today = as_of_or_max(as_of, sales, "transaction_date")
     stock = latest_row(inventory, "snapshot_date", ["qty_on_hand", "total_stock_value", "last_movement_date"])
@@ -104,7 +104,7 @@ def dead_stock(
     inventory: DataFrame, sales: DataFrame, parts: DataFrame, dealers: DataFrame, as_of=None, s: Settings = DEFAULTS
 ) -> DataFrame:
     """Positive stock without movement for more than the watch-list days."""
-    idle = _stock_by_movement(inventory, sales, as_of).where(
+    idle = stock_with_movement(inventory, sales, as_of).where(
         (F.col("qty_on_hand") > 0) & (F.col("days_no_movement") > s.watch_days)
     )
     return (

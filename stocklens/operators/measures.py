@@ -33,6 +33,33 @@ def _beside(left: DataFrame, right: DataFrame, by: By) -> DataFrame:
     return left.select("*", *[right.select(c).scalar().alias(c) for c in names])
 
 
+# ---------------------------------------------------------------- overviews
+def sales_overview(sales: DataFrame, by: By = ()) -> DataFrame:
+    """The sales measures that share one pass over the fact."""
+    return sales.groupBy(*by).agg(
+        num_round(_net(), 2).alias("total_revenue"),
+        F.sum("qty_sold").alias("total_units_sold"),
+        num_round(_fill(), 4).alias("fill_rate_pct"),
+        num_round(F.lit(100.0) - _fill(), 4).alias("backorder_rate_pct"),
+    )
+
+
+def stock_overview(stock: DataFrame, as_of, by: By = (), slow_days: int = 180, dead_days: int = 365) -> DataFrame:
+    """Value of stock, of slow-moving stock and of dead stock, in one pass."""
+    slow, dead = _is_dead(as_of, slow_days) & ~_is_dead(as_of, dead_days), _is_dead(as_of, dead_days)
+    return stock.groupBy(*by).agg(
+        num_round(_stock_value(), 2).alias("total_inventory_value"),
+        num_round(F.coalesce(_stock_value(slow), F.lit(0.0)), 2).alias("slow_moving_value"),
+        num_round(F.coalesce(_stock_value(dead), F.lit(0.0)), 2).alias("dead_stock_value"),
+        num_round(safe_divide(_stock_value(dead), _stock_value(), 0) * 100, 4).alias("dead_stock_pct"),
+    )
+
+
+def purchase_overview(po: DataFrame, by: By = ()) -> DataFrame:
+    """The supplier measures, in one pass over the orders."""
+    return po.groupBy(*by).agg(*[num_round(e, d).alias(n) for n, (e, d) in _purchase_measures().items()])
+
+
 # ---------------------------------------------------------------- sales
 def total_revenue(sales: DataFrame, by: By = ()) -> DataFrame:
     return _one(sales, by, "total_revenue", _net(), 2)
@@ -211,33 +238,49 @@ def urgency_score(
 
 
 # ---------------------------------------------------------------- suppliers
+def _purchase_measures() -> dict[str, tuple[Column, int]]:
+    """Aggregate expression and output digits per measure.
+
+    The lead-time spread is the population deviation, from exact integer sums.
+    """
+    closed, delta = F.col("po_status") == "Closed", F.col("lead_time_delta")
+    lead = F.when(F.col("lead_time_actual") > 0, F.col("lead_time_actual").cast("bigint"))
+    late = F.when((delta > 0) & closed, delta)
+    n, total, squares = (c.cast("decimal(19,0)") for c in (F.count(lead), F.sum(lead), F.sum(lead * lead)))
+    count = F.count(lead).cast("double")
+    return {
+        "supplier_on_time_pct": (
+            safe_divide(F.count_if(closed & (delta <= 0)), F.count_if(closed), 0) * 100, 4),
+        "avg_lead_time_days": (safe_divide(F.sum(lead), F.count(lead)), 4),
+        "lead_time_std_dev": (F.sqrt(F.try_divide((n * squares - total * total).cast("double"), count * count)), 4),
+        "total_po_value": (F.sum(F.col("qty_ordered") * F.col("unit_cost")).cast("double"), 2),
+        "avg_delay_days": (safe_divide(F.sum(late), F.count(late)), 4),
+    }
+
+
+def _purchase(po: DataFrame, by: By, name: str) -> DataFrame:
+    value, digits = _purchase_measures()[name]
+    return _one(po, by, name, value, digits)
+
+
 def on_time_pct(po: DataFrame, by: By = ()) -> DataFrame:
-    closed = F.col("po_status") == "Closed"
-    good = F.count_if(closed & (F.col("lead_time_delta") <= 0))
-    return _one(po, by, "supplier_on_time_pct", safe_divide(good, F.count_if(closed), 0) * 100)
+    return _purchase(po, by, "supplier_on_time_pct")
 
 
 def avg_lead_time(po: DataFrame, by: By = ()) -> DataFrame:
-    lead = F.when(F.col("lead_time_actual") > 0, F.col("lead_time_actual"))
-    return _one(po, by, "avg_lead_time_days", safe_divide(F.sum(lead), F.count(lead)))
+    return _purchase(po, by, "avg_lead_time_days")
 
 
 def lead_time_std(po: DataFrame, by: By = ()) -> DataFrame:
-    """Population standard deviation of positive lead times, from exact integer sums."""
-    lead = F.when(F.col("lead_time_actual") > 0, F.col("lead_time_actual").cast("bigint"))
-    n, total, squares = (c.cast("decimal(19,0)") for c in (F.count(lead), F.sum(lead), F.sum(lead * lead)))
-    spread = (n * squares - total * total).cast("double")
-    count = F.count(lead).cast("double")
-    return _one(po, by, "lead_time_std_dev", F.sqrt(F.try_divide(spread, count * count)))
+    return _purchase(po, by, "lead_time_std_dev")
 
 
 def total_po_value(po: DataFrame, by: By = ()) -> DataFrame:
-    return _one(po, by, "total_po_value", F.sum(F.col("qty_ordered") * F.col("unit_cost")).cast("double"), 2)
+    return _purchase(po, by, "total_po_value")
 
 
 def avg_delay_days(po: DataFrame, by: By = ()) -> DataFrame:
-    late = F.when((F.col("lead_time_delta") > 0) & (F.col("po_status") == "Closed"), F.col("lead_time_delta"))
-    return _one(po, by, "avg_delay_days", safe_divide(F.sum(late), F.count(late)))
+    return _purchase(po, by, "avg_delay_days")
 
 
 # ---------------------------------------------------------------- forecasts
