@@ -2,63 +2,75 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.types import StructType
 
 from stocklens.functions.scalar import as_date, month_start
 
+_SIMPLE = {
+    "STRING": T.StringType(), "INT": T.IntegerType(), "BIGINT": T.LongType(), "DOUBLE": T.DoubleType(),
+    "BOOLEAN": T.BooleanType(), "DATE": T.DateType(), "TIMESTAMP": T.TimestampType(),
+}
 
 
-def _ddl(text: str) -> StructType:
-    return StructType.fromDDL(text)
+def struct_of(columns: str) -> StructType:
+    """``"name TYPE, ..."`` as a StructType, without needing a running session."""
+    fields = []
+    for name, kind, precision, scale in re.findall(r"(\w+) (\w+)(?:\((\d+),(\d+)\))?", columns):
+        kind_type = T.DecimalType(int(precision), int(scale)) if kind == "DECIMAL" else _SIMPLE[kind]
+        fields.append(T.StructField(name, kind_type))
+    return StructType(fields)
 
 
 TABLES: dict[str, StructType] = {
-    "dim_parts": _ddl(
+    "dim_parts": struct_of(
         "part_id INT, part_number STRING, oem_number STRING, part_name STRING, part_description STRING, "
         "brand STRING, category STRING, sub_category STRING, unit_of_measure STRING, "
         "standard_cost DECIMAL(12,2), list_price DECIMAL(12,2), weight_kg DECIMAL(8,3), "
         "is_critical BOOLEAN, is_active BOOLEAN, superseded_by STRING, created_at TIMESTAMP, updated_at TIMESTAMP"
     ),
-    "dim_suppliers": _ddl(
+    "dim_suppliers": struct_of(
         "supplier_id INT, supplier_code STRING, supplier_name STRING, country STRING, city STRING, "
         "supplier_type STRING, payment_terms STRING, currency STRING, lead_time_days INT, "
         "min_order_value DECIMAL(12,2), is_preferred BOOLEAN, rating DECIMAL(3,1), is_active BOOLEAN, "
         "created_at TIMESTAMP"
     ),
-    "dim_dealers": _ddl(
+    "dim_dealers": struct_of(
         "dealer_id INT, dealer_code STRING, dealer_name STRING, region STRING, city STRING, country STRING, "
         "warehouse_type STRING, is_active BOOLEAN"
     ),
-    "fact_inventory": _ddl(
+    "fact_inventory": struct_of(
         "inventory_id BIGINT, snapshot_date DATE, part_id INT, dealer_id INT, qty_on_hand INT, qty_reserved INT, "
         "qty_in_transit INT, qty_available INT, avg_unit_cost DECIMAL(12,4), total_stock_value DECIMAL(16,2), "
         "last_movement_date DATE, shelf_location STRING"
     ),
-    "fact_sales": _ddl(
+    "fact_sales": struct_of(
         "sale_id BIGINT, transaction_date DATE, part_id INT, dealer_id INT, customer_type STRING, qty_sold INT, "
         "unit_price DECIMAL(12,2), discount_pct DECIMAL(5,2), revenue DECIMAL(16,2), cogs DECIMAL(16,2), "
         "gross_profit DECIMAL(16,2), order_source STRING, was_fulfilled BOOLEAN, backorder_qty INT, "
         "created_at TIMESTAMP"
     ),
-    "fact_purchase_orders": _ddl(
+    "fact_purchase_orders": struct_of(
         "po_id BIGINT, po_number STRING, po_line INT, part_id INT, supplier_id INT, dealer_id INT, "
         "order_date DATE, promised_date DATE, actual_receipt_date DATE, qty_ordered INT, qty_received INT, "
         "unit_cost DECIMAL(12,4), total_cost DECIMAL(16,2), po_status STRING, lead_time_actual INT, "
         "lead_time_delta INT, created_at TIMESTAMP"
     ),
-    "fact_demand_forecast": _ddl(
+    "fact_demand_forecast": struct_of(
         "forecast_id BIGINT, forecast_date DATE, part_id INT, dealer_id INT, forecast_qty DECIMAL(10,2), "
         "forecast_lower DECIMAL(10,2), forecast_upper DECIMAL(10,2), model_used STRING, mape DECIMAL(6,2), "
         "generated_at TIMESTAMP"
     ),
-    "analytics_abc_xyz": _ddl(
+    "analytics_abc_xyz": struct_of(
         "classification_id BIGINT, classification_month DATE, part_id INT, dealer_id INT, abc_class STRING, "
         "xyz_class STRING, combined_class STRING, annual_revenue DECIMAL(16,2), revenue_pct DECIMAL(6,3), "
         "cumulative_revenue_pct DECIMAL(6,3), demand_cov DECIMAL(8,4), avg_monthly_demand DECIMAL(10,2)"
     ),
-    "analytics_reorder_policy": _ddl(
+    "analytics_reorder_policy": struct_of(
         "policy_id BIGINT, effective_date DATE, part_id INT, dealer_id INT, avg_daily_demand DECIMAL(10,4), "
         "demand_std_dev DECIMAL(10,4), avg_lead_time_days DECIMAL(8,2), lead_time_std_dev DECIMAL(8,2), "
         "service_level_z DECIMAL(5,3), safety_stock_qty INT, reorder_point INT, economic_order_qty INT, "

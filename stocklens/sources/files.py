@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from stocklens.functions.scalar import month_start
-from stocklens.schemas import PARTITION_DATE, PO_STUB_COLUMNS, TABLES, conform
+from stocklens.schemas import PARTITION_DATE, PO_STUB_COLUMNS, TABLES, conform, struct_of
 
 log = logging.getLogger(__name__)
 
@@ -62,7 +62,7 @@ def read_csv(spark: SparkSession, path: str, schema: str | StructType | None = N
 
 
 def _struct(schema: str | StructType) -> StructType:
-    return schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+    return schema if isinstance(schema, StructType) else struct_of(schema)
 
 
 def load_inputs(spark: SparkSession, folder: str) -> dict[str, DataFrame]:

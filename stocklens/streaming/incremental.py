@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructType
 
 from stocklens.operators.cleaning import CLEANERS, SALES_DUPLICATE_KEY
+from stocklens.schemas import struct_of
 
 
 def clean_stream(
@@ -32,8 +33,8 @@ def clean_stream(
     if table_type not in CLEANERS:
         raise ValueError(f"Unknown table_type: {table_type}. Choose from {list(CLEANERS)}")
     cleaner, ddl = CLEANERS[table_type]
-    names = columns or StructType.fromDDL(ddl).names
-    types = {f.name: f.dataType for f in StructType.fromDDL(ddl).fields}
+    types = {f.name: f.dataType for f in struct_of(ddl).fields}
+    names = columns or list(types)
     text = StructType()
     for c in names:
         text = text.add(c, StringType())
