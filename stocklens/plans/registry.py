@@ -55,7 +55,7 @@ def _policies(s: Star, classified: DataFrame | None = None) -> DataFrame:
 
 def _policy_history(s: Star) -> DataFrame:
     """A superseded and a current policy per part and dealer."""
-    now = _policies(s)
+    now = materialize(_policies(s), "policies")
     old = now.withColumns(
         {"effective_date": F.date_sub(F.lit(str(s.as_of)).cast("date"), 30), "reorder_point": F.col("reorder_point") * 2}
     )
@@ -78,7 +78,10 @@ def _features(s: Star) -> DataFrame:
 
 
 def _dirty_sales(s: Star) -> DataFrame:
-    """Sales with one kind of fault per (quantity, discount) pair, and repeated rows."""
+    """Sales with one kind of fault per (quantity, discount) pair, and repeated rows.
+
+    Landed as a table, as a raw extract is: the cleaner reads it twice.
+    """
     q, d, price = F.col("qty_sold"), F.col("discount_pct"), F.col("unit_price").cast("double")
     is_ = lambda qty, disc: (q == qty) & (d == disc)
     columns = ["transaction_date", "part_id", "dealer_id", "customer_type", "qty_sold", "unit_price", "discount_pct",
@@ -97,7 +100,7 @@ def _dirty_sales(s: Star) -> DataFrame:
     copies = faulty.where("order_source = '1-URGENT'").withColumn(
         "customer_type", F.when(F.col("qty_sold") > 25, "AAA COPY").otherwise(F.col("customer_type"))
     )
-    return faulty.select(columns).unionByName(copies.select(columns))
+    return materialize(faulty.select(columns).unionByName(copies.select(columns)), "raw_sales")
 
 
 def _dirty_inventory(s: Star) -> DataFrame:
