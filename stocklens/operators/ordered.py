@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from stocklens.sources.scratch import materialize
 
 _CHUNK = "_chunk"
+# Distinct values per key up to which one aggregation buffer may hold them (a few MB).
+WIDE_KEY = 100_000
 
 
 def prefix_sum(
@@ -103,40 +105,57 @@ def row_rank(df: DataFrame, order_by: Sequence[Column], out: str = "row_rank") -
 
 
 def exact_quantiles(
-    df: DataFrame, keys: Sequence[str], value: str, probs: Mapping[str, float], weight: str | None = None
+    df: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    probs: Mapping[str, float],
+    weight: str | None = None,
+    wide: int = WIDE_KEY,
 ) -> DataFrame:
     """Exact quantiles per key with linear interpolation between neighbours.
 
-    ``weight`` names a repeat count when ``df`` is already a histogram.
-
-    The rows are first reduced to a (key, value) histogram with map-side combine;
-    ranks come from a chunked prefix sum over it, so a hot key is neither sorted
-    nor held in memory by a single task.
+    The rows are first reduced to a (key, value) histogram with map-side combine,
+    so a hot key costs its distinct values, not its rows. Keys with at most ``wide``
+    distinct values use the built-in weighted percentile, whose buffer is then
+    bounded; any wider key is ranked by a chunked prefix sum, so that no task holds
+    or sorts it. ``weight`` names a repeat count when ``df`` is a histogram already.
     """
     keys = list(keys)
     repeats = F.sum(weight) if weight else F.count(F.lit(1))
-    histogram = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(repeats.alias("_n"))
+    histogram = materialize(
+        df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(repeats.alias("_n")), "histogram"
+    )
+    wide_keys = histogram.groupBy(*keys).agg(F.count(F.lit(1)).alias("_d")).where(F.col("_d") > wide).select(*keys)
+    if wide_keys.isEmpty():
+        return _percentiles(histogram, keys, value, probs)
+    same = [F.col(f"h.{k}").eqNullSafe(F.col(f"w.{k}")) for k in keys]
+    split = lambda kind: histogram.alias("h").join(wide_keys.alias("w"), same, kind)
+    return _percentiles(split("left_anti"), keys, value, probs).unionByName(
+        _ranked_quantiles(split("left_semi"), keys, value, probs)
+    )
+
+
+def _percentiles(histogram: DataFrame, keys: list[str], value: str, probs: Mapping[str, float]) -> DataFrame:
+    points = F.percentile(F.col(value).cast("double"), list(probs.values()), F.col("_n")).alias("_p")
+    found = histogram.groupBy(*keys).agg(points)
+    return found.select(*keys, *[F.col("_p").getItem(i).alias(out) for i, out in enumerate(probs)])
+
+
+def _ranked_quantiles(histogram: DataFrame, keys: list[str], value: str, probs: Mapping[str, float]) -> DataFrame:
+    """Quantiles from running counts; both branches read the prefix sum's written table."""
     ranked = prefix_sum(histogram, {"_upto": "_n"}, [F.col(value).asc()], keys)
     sizes = ranked.groupBy(*keys).agg(F.sum("_n").alias("_size"))
-    # The prefix sum is over a written table, so both branches read the same rows.
-    placed = ranked.join(sizes, keys)
+    position = {out: (F.col("_size") - 1) * F.lit(float(p)) for out, p in probs.items()}
     picks = []
-    for out, p in probs.items():
-        position = (F.col("_size") - 1) * F.lit(float(p))
-        below = F.floor(position)
+    for out, at in position.items():
         picks += [
-            F.min(F.when(F.col("_upto") > below, F.col(value))).cast("double").alias(f"_lo_{out}"),
-            F.min(F.when(F.col("_upto") > F.ceil(position), F.col(value))).cast("double").alias(f"_hi_{out}"),
-            F.max(position - below).alias(f"_w_{out}"),
+            F.min(F.when(F.col("_upto") > F.floor(at), F.col(value))).cast("double").alias(f"_lo_{out}"),
+            F.min(F.when(F.col("_upto") > F.ceil(at), F.col(value))).cast("double").alias(f"_hi_{out}"),
+            F.max(at - F.floor(at)).alias(f"_w_{out}"),
         ]
-    found = placed.groupBy(*keys).agg(*picks)
-    return found.select(
-        *keys,
-        *[
-            (F.col(f"_lo_{o}") + (F.col(f"_hi_{o}") - F.col(f"_lo_{o}")) * F.col(f"_w_{o}")).alias(o)
-            for o in probs
-        ],
-    )
+    found = ranked.join(sizes, keys).groupBy(*keys).agg(*picks)
+    between = lambda o: F.col(f"_lo_{o}") + (F.col(f"_hi_{o}") - F.col(f"_lo_{o}")) * F.col(f"_w_{o}")
+    return found.select(*keys, *[between(o).alias(o) for o in probs])
 
 
 def densify(df: DataFrame, keys: Sequence[str], period: str, value: str) -> DataFrame:

@@ -322,6 +322,9 @@ add("derived_purchase_orders", """
 SELECT po_number, po_line, part_id, CAST(qty_ordered * unit_cost AS DOUBLE) AS total_cost,
        CAST(actual_receipt_date - order_date AS INT) AS lead_time_actual,
        CAST(actual_receipt_date - promised_date AS INT) AS lead_time_delta FROM fact_purchase_orders""")
+add("stored_sales", """
+SELECT CAST(date_trunc('month', transaction_date) AS DATE) AS month, transaction_date, CAST(part_id AS INT) AS part_id, dealer_id, customer_type,
+       qty_sold, CAST(unit_price AS DOUBLE) AS unit_price, CAST(revenue AS DOUBLE) AS revenue, was_fulfilled FROM fact_sales""")
 add("quality_unique", "SELECT po_number, po_line, COUNT(*) AS row_count FROM fact_purchase_orders GROUP BY ALL HAVING COUNT(*) > 1")
 add("quality_foreign_key", """
 SELECT part_id, COUNT(*) AS row_count FROM fact_sales
@@ -452,6 +455,7 @@ SELECT part_number, part_name, category, p.is_critical, dealer_name, qty_availab
             WHEN qty_available < reorder_point THEN 'ORDER NOW' WHEN qty_available < reorder_point * CAST(1.2 AS DOUBLE) THEN 'WATCH' ELSE 'OK' END AS risk_level
 FROM latest l JOIN dim_parts p ON l.part_id = p.part_id JOIN dim_dealers d ON l.dealer_id = d.dealer_id
      LEFT JOIN pol ON l.part_id = pol.part_id AND l.dealer_id = pol.dealer_id""", LATEST, ABC, STATS, POLICY)
+ORACLE["stockout_risk_view"] = ORACLE["stockout_risk"]
 add("service_level", f"""
 SELECT dealer_id, COUNT(*) AS demand_events, CAST(SUM(missed) AS BIGINT) AS stockout_events,
        {r('100.0 * (1.0 - CAST(SUM(missed) AS DOUBLE) / COUNT(*))', 2)} AS service_level_pct
@@ -507,10 +511,16 @@ FROM (SELECT *, coalesce(sd / nullif(mean, 0), 9999) AS cov FROM (
   FROM (SELECT part_id, dealer_id, date_trunc('month', transaction_date) AS m, CAST(SUM(qty_sold) AS BIGINT) AS q FROM fact_sales GROUP BY ALL) a,
        (SELECT COUNT(DISTINCT date_trunc('month', transaction_date)) AS n FROM fact_sales) c
   GROUP BY part_id, dealer_id) d) e""")
-add("abc_xyz", f"""
+_ABC_XYZ = f"""
 SELECT part_id, dealer_id, CAST(annual_revenue AS DOUBLE) AS annual_revenue, {r('revenue_pct')} AS revenue_pct, {r('cum_rev_pct')} AS cum_rev_pct,
        abc_class, {r('avg_monthly_demand')} AS avg_monthly_demand, {r('demand_std')} AS demand_std, {r('demand_cov')} AS demand_cov, xyz_class, combined_class
-FROM abc""", ABC)
+FROM abc"""
+add("abc_xyz", _ABC_XYZ, ABC)
+_CLEANED = """
+cleaned AS (SELECT day AS transaction_date, part_id, dealer_id, qty_sold,
+                   CAST(round(CAST(qty_sold * unit_price * (1 - discount_pct / 100) AS DECIMAL(28,9)), 4) AS DECIMAL(18,4)) AS revenue
+            FROM judged WHERE NOT outlier)"""
+add("pipeline_abc_xyz", _ABC_XYZ, DIRTY, _CLEANED, ABC.replace("FROM fact_sales", "FROM cleaned"))
 
 
 def _summary(by: str) -> str:

@@ -13,6 +13,7 @@ from pyspark.sql.types import DecimalType, DoubleType
 from stocklens.functions.scalar import num_round
 from stocklens.operators import classify, cleaning, features, forecast, kpi, latest, measures, ordered, quality, replenish, stockout
 from stocklens.plans import dashboards
+from stocklens.plans.pipeline import run_pipeline
 from stocklens.schemas import apply_defaults, derive_inventory, derive_purchase_orders, derive_sales
 from stocklens.sources import files
 from stocklens.sources.calendar import calendar_between
@@ -153,6 +154,12 @@ def derived_purchase_orders(s):
     raw = s.purchase_orders.drop("total_cost", "lead_time_actual", "lead_time_delta")
     return derive_purchase_orders(raw).select("po_number", "po_line", "part_id", "total_cost", "lead_time_actual", "lead_time_delta")
 @query
+def stored_sales(s):
+    folder = _scratch(s, "warehouse")
+    files.write_table(s.sales, "fact_sales", folder)
+    return files.read_table(s.spark, "fact_sales", folder).select(
+        "month", "transaction_date", "part_id", "dealer_id", "customer_type", "qty_sold", "unit_price", "revenue", "was_fulfilled")
+@query
 def quality_unique(s): return quality.check_unique(s.purchase_orders, ["po_number", "po_line"])
 @query
 def quality_foreign_key(s): return quality.check_foreign_key(s.sales, "part_id", s.parts.where("is_active"))
@@ -223,6 +230,11 @@ def monthly_trend(s): return kpi.monthly_trend(s.sales, s.parts)
 @query
 def stockout_risk(s): return kpi.stockout_risk(s.inventory, _policy_history(s), s.parts, s.dealers)
 @query
+def stockout_risk_view(s):
+    name = f"stockout_risk_{uuid.uuid4().hex}"
+    kpi.create_stockout_view(name, inventory=s.inventory, policy=_policy_history(s), parts=s.parts, dealers=s.dealers)
+    return s.spark.table(name)
+@query
 def service_level(s): return kpi.service_level(s.sales)
 
 # ---------------------------------------------------------------- latest row, ordered
@@ -278,6 +290,16 @@ def abc_xyz_summary(s): return classify.abc_xyz_summary(_classified(s))
 def abc_xyz_actions(s):
     return classify.with_actions(_classified(s)).select("part_id", "dealer_id", "combined_class", "segment_label", "recommended_action")
 
+@query
+def pipeline_abc_xyz(s):
+    return run_pipeline(s.spark, {"sales": _dirty_sales(s)}, "classify", as_of=s.as_of)["abc_xyz"]
+@query
+def pipeline_outputs(s):
+    out = run_pipeline(
+        s.spark, {"sales": _dirty_sales(s), "inventory": s.inventory, "parts": s.parts, "purchase_orders": s.purchase_orders},
+        "score", as_of=s.as_of, output=_scratch(s, "run"), trees=20, iterations=5)
+    return s.spark.read.parquet(f"{out['run_dir']}/{files.OUTPUT_FILES['stockout_scores']}")
+
 # ---------------------------------------------------------------- replenishment
 @query
 def demand_stats(s): return replenish.demand_stats(s.sales)

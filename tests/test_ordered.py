@@ -40,13 +40,14 @@ def test_row_rank(spark):
     assert all(r["row_rank"] == r["id"] for r in ordered.row_rank(df, [F.asc("id")]).collect())
 
 
-def test_quantiles_match_numpy(spark):
+@pytest.mark.parametrize("wide", [100_000, 150, 0])
+def test_quantiles_match_numpy(spark, wide):
     rng = random.Random(9)
     data = [("hot" if rng.random() < 0.5 else f"k{rng.randint(0, 5)}", None if rng.random() < 0.05 else round(rng.gauss(50, 20), 1)) for _ in range(3000)]
     data.append(("single", 4.0))
     df = spark.createDataFrame(data, "k STRING, v DOUBLE")
     probs = {"q1": 0.25, "med": 0.5, "p90": 0.9}
-    got = {r["k"]: r for r in ordered.exact_quantiles(df, ["k"], "v", probs).collect()}
+    got = {r["k"]: r for r in ordered.exact_quantiles(df, ["k"], "v", probs, wide=wide).collect()}
     for k in {d[0] for d in data}:
         values = [v for kk, v in data if kk == k and v is not None]
         for name, p in probs.items():

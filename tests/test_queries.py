@@ -11,7 +11,7 @@ import __spark_entry__ as entry
 FOLDER = "/root/testdata/sf0.001"
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test tables are not here")
-SLOW = {"stockout_scores", "stockout_model_metrics", "stockout_feature_importance", "stockout_cross_validation"}
+SLOW = {"stockout_scores", "stockout_model_metrics", "stockout_feature_importance", "stockout_cross_validation", "pipeline_outputs"}
 
 
 @pytest.fixture(scope="module")
