@@ -82,12 +82,18 @@ def exact_variance(n: Column, total: Column, squares: Column) -> Column:
     partitioning nor on summation order, and needs only plain ``sum`` aggregates
     with map-side combine. Null for fewer than two observations.
     """
-    n_int, s_int, q_int = (c.cast("decimal(19,0)") for c in (n, total, squares))
-    spread = (n_int * q_int - s_int * s_int).cast("double")
+    n_int, s_int = n.cast("decimal(19,0)"), total.cast("decimal(19,0)")
+    spread = (n_int * squares.cast("decimal(38,0)") - s_int * s_int).cast("double")
     pairs = n.cast("double") * (n.cast("double") - 1.0)
     return F.when(n > 1, spread / pairs)
 
 
+def square(whole: Column) -> Column:
+    """Square of a whole number, wide enough that sums of squares do not overflow."""
+    wide = whole.cast("decimal(18,0)")
+    return wide * wide
+
+
 def exact_std(n: Column, total: Column, squares: Column) -> Column:
     return F.sqrt(exact_variance(n, total, squares))
 

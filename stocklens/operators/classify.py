@@ -19,6 +19,7 @@ from stocklens.functions.scalar import (
     month_start,
     resolve_as_of,
     safe_divide,
+    square,
     xyz_band,
 )
 from stocklens.operators.ordered import densify, prefix_sum
@@ -106,7 +107,7 @@ def classify_xyz(
         return stats.withColumns(_xyz_from(F.col("_mean"), F.col("_std"), s)).drop("_mean", "_std")
     sums = (
         monthly.groupBy(*keys, period).agg(F.sum(value).alias("_q"))
-        .groupBy(*keys).agg(F.sum("_q").alias("_s"), F.sum(F.col("_q") * F.col("_q")).alias("_qq"))
+        .groupBy(*keys).agg(F.sum("_q").alias("_s"), F.sum(square(F.col("_q"))).alias("_qq"))
     )
     periods = monthly.select(period).distinct().select(F.count(period)).scalar()
     return sums.withColumns(_xyz_columns(periods, F.col("_s"), F.col("_qq"), s)).drop("_s", "_qq")
@@ -135,7 +136,7 @@ def abc_xyz(
         .agg(
             F.sum("_rev").alias("annual_revenue"),
             F.sum("_q").alias("_s"),
-            F.sum(F.col("_q") * F.col("_q")).alias("_qq"),
+            F.sum(square(F.col("_q"))).alias("_qq"),
             F.bit_or(bit).alias("_seen"),
         ),
         "abcxyz",

@@ -6,14 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stocklens.config import DEFAULTS, Settings
-from stocklens.functions.scalar import KEYS, exact_std, order_quantity, reorder_point, safe_divide, safety_stock
+from stocklens.functions.scalar import KEYS, exact_std, order_quantity, reorder_point, safe_divide, safety_stock, square
 
 
 def demand_stats(sales: DataFrame) -> DataFrame:
     """Mean and spread of daily quantity per part and dealer over days with sales."""
     daily = sales.groupBy(*KEYS, "transaction_date").agg(F.sum("qty_sold").alias("q"))
     sums = daily.groupBy(*KEYS).agg(
-        F.count("q").alias("n"), F.sum("q").alias("s"), F.sum(F.col("q") * F.col("q")).alias("qq")
+        F.count("q").alias("n"), F.sum("q").alias("s"), F.sum(square(F.col("q"))).alias("qq")
     )
     std = exact_std(F.col("n"), F.col("s"), F.col("qq"))
     return sums.select(

@@ -105,8 +105,8 @@ def write_outputs(results: Mapping[str, DataFrame], folder: str, run_at: dt.date
 def write_table(df: DataFrame, table: str, folder: str, mode: str = "overwrite") -> str:
     """Store a warehouse table as Parquet; facts in one directory per month.
 
-    The month is part of the shuffle key only as a prefix of the sort, so a month
-    that holds most rows is still written by many tasks.
+    Rows are range partitioned on (month, day, keys): each task writes few months,
+    and a month that holds most rows is still written by many tasks.
     """
     path = f"{folder.rstrip('/')}/{table}"
     out = conform(df, table)
