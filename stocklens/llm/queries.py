@@ -41,6 +41,12 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stocklens.llm.mtree import top_k
+
+    return top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from stocklens.llm.toxicity import toxicity_scores
 
@@ -53,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_quality_classifier": op6_quality_classifier,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_jaccard_join": op8_jaccard_join,
+    "op9_exact_top_k": op9_exact_top_k,
     "op10_toxicity": op10_toxicity,
 }
 
