@@ -23,6 +23,20 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stocklens.llm.pages import main_texts
+
+    return main_texts(table(spark, sf_dir, "pages"))
+
+
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from stocklens.llm.wordpiece import token_counts
+
+    return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     from stocklens.llm.quality import quality_scores
 
@@ -56,6 +70,8 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op3_decontamination": op3_decontamination,
+    "op4_html_extraction": op4_html_extraction,
+    "op5_token_counts": op5_token_counts,
     "op6_quality_classifier": op6_quality_classifier,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_jaccard_join": op8_jaccard_join,
