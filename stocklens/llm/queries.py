@@ -17,6 +17,14 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from stocklens.llm.lm import lm_scores
+
+    return lm_scores(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from stocklens.llm.decontam import contamination
 
@@ -69,6 +77,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_lm_scoring": op2_lm_scoring,
     "op3_decontamination": op3_decontamination,
     "op4_html_extraction": op4_html_extraction,
     "op5_token_counts": op5_token_counts,
