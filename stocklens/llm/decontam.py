@@ -29,8 +29,13 @@ def words_of(text: str | Column) -> Column:
     return F.filter(parts, lambda w: w != "")
 
 
+def with_text_key(docs: DataFrame) -> DataFrame:
+    """docs with (h1, h2), a 128-bit hash of the text."""
+    return docs.withColumns({"h1": F.xxhash64("text"), "h2": F.xxhash64(F.lit(1), "text")})
+
+
 def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", "text", F.xxhash64("text").alias("h1"), F.xxhash64(F.lit(1), "text").alias("h2"))
+    return with_text_key(docs.select("doc_id", "text"))
 
 
 def phrases_of(items: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -95,13 +100,8 @@ def phrase_matches(docs: DataFrame, phrases: DataFrame) -> DataFrame:
     return found.join(phrases, ["pid", "phrase"]).select(*_KEY, "start", "pid", F.size("phrase").alias("len"))
 
 
-def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
-    """Per document row: doc_id, n_words, n_hit (words inside any occurrence of an item's window), n_items,
-    items_sha256 (of the item_ids sorted as strings, comma-joined; of the empty string if none), contaminated.
-
-    Null and empty texts have no words. Items without words match nothing, repeated items and rows count
-    once each, rows with a null item_id take no part, null doc_ids are kept. Other columns are ignored.
-    """
+def contaminated_texts(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
+    """(h1, h2, n_hit, items) of every distinct text in which a window of an item occurs; stored."""
     of_items = store(phrases_of(items, window), "item_phrases")
     phrases = store(of_items.select("phrase").distinct().withColumn("pid", F.monotonically_increasing_id()), "phrases")
     matches = store(phrase_matches(docs, phrases), "matches")
@@ -109,7 +109,17 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
     hit = places.groupBy(_KEY).agg(F.count("*").alias("n_hit"))
     ids = of_items.join(phrases, "phrase").select("pid", F.col("item_id").cast("string").alias("item"))
     named = matches.select(*_KEY, "pid").distinct().join(ids, "pid").groupBy(_KEY).agg(F.array_sort(F.collect_set("item")).alias("items"))
-    summary = store(hit.join(named, _KEY), "summary")
+    return store(hit.join(named, _KEY), "summary")
+
+
+def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
+    """Per document row: doc_id, n_words, n_hit (words inside any occurrence of an item's window), n_items,
+    items_sha256 (of the item_ids sorted as strings, comma-joined; of the empty string if none), contaminated.
+
+    Null and empty texts have no words. Items without words match nothing, repeated items and rows count
+    once each, rows with a null item_id take no part, null doc_ids are kept. Other columns are ignored.
+    """
+    summary = contaminated_texts(docs, items, window)
     rows = _keyed(docs).select("doc_id", *_KEY, F.size(words_of("text")).cast("bigint").alias("n_words")).join(summary, _KEY, "left")
     items_of = F.coalesce("items", F.array().cast("array<string>"))
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("bigint")

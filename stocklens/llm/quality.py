@@ -9,8 +9,9 @@ share, so texts of any length are comparable.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stocklens.llm.common import CACHE_WORDS, map_batches, mix, table, window_hashes, word_hashes
@@ -106,15 +107,32 @@ def score_quality(docs: DataFrame, weights: np.ndarray) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(weights)
 
     def run(rows: dict[str, list]) -> dict[str, list]:
-        w = sent.value
-        sums = [float(w[-1] + w[at] @ x) for at, x in map(features, rows["text"])]
-        return {"doc_id": rows["doc_id"], "held_out": rows["held_out"], "score": sigmoid(np.array(sums, float))}
+        return {"doc_id": rows["doc_id"], "held_out": rows["held_out"], "score": _scores(rows["text"], sent.value)}
 
     id_type = dict(docs.dtypes)["doc_id"]
     scored = map_batches(docs.select("doc_id", held_out(FOLD, HELD).alias("held_out"), "text"), run, f"doc_id {id_type}, held_out boolean, score double")
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
-def quality_scores(spark, sf_dir: str, docs: DataFrame | None = None) -> DataFrame:  # noqa: ANN001
-    documents = table(spark, sf_dir, "documents")
-    return score_quality(documents if docs is None else docs, fit_quality(documents, table(spark, sf_dir, "labels")))
+def _scores(texts: list[str | None], w: np.ndarray) -> np.ndarray:
+    return sigmoid(np.array([w[-1] + w[at] @ x for at, x in map(features, texts)], float))
+
+
+def accepted(docs: DataFrame, weights: np.ndarray) -> DataFrame:
+    """The rows of docs, all columns, whose text scores at least 0.5."""
+    sent = docs.sparkSession.sparkContext.broadcast(weights)
+
+    @F.pandas_udf("double")
+    def score(text: pd.Series) -> pd.Series:
+        return pd.Series(_scores(text.tolist(), sent.value))
+
+    return docs.where(score("text") >= 0.5)
+
+
+def quality_weights(spark: SparkSession, sf_dir: str) -> np.ndarray:
+    """Fitted on the labelled documents of the folder, which a filtered table may lack."""
+    return fit_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(table(spark, sf_dir, "documents"), quality_weights(spark, sf_dir))

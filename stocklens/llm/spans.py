@@ -102,13 +102,36 @@ def _repeating(keyed: DataFrame, key: str) -> DataFrame:
     return keyed.join(keyed.groupBy(key).count().where("count > 1").select(key), key)
 
 
-def repeated_spans(docs: DataFrame, window: int = WINDOW, with_text: bool = False) -> DataFrame:
-    """Per document: doc_id, n_words, n_removed, kept_sha256 (and the kept text, if asked for).
+def repeated_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+    """Per document: doc_id, n_words, n_removed, kept_sha256.
 
     Words are runs of non-white-space, unchanged. Null and empty texts have none; documents shorter
     than a window keep everything; a row repeating another (same doc_id and text, null ids
     included) counts as another occurrence. Other columns are ignored.
     """
+    marks, cut = _find_and_cut(docs, window)
+    same = marks.select("doc_id", "text_hash", "n_words", "kept_sha256").alias("p").join(_changed(cut), _same("p", "c"), "left_anti")
+    names = ["doc_id", "n_words", "n_removed", "kept_sha256"]
+    # Rows without a repeated window keep all their words, as counted in the first pass.
+    return same.withColumn("n_removed", F.lit(0).cast("bigint")).select(names).unionByName(cut.select(names))
+
+
+def without_repeated_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+    """The rows of docs with all their columns; in texts that hold a repeated window, what is left of the
+    words, joined by one space. Other texts stay as they are."""
+    _, cut = _find_and_cut(docs, window)
+    changed = cut.dropDuplicates(["doc_id", "text_hash"]).select("doc_id", "text_hash", F.col("text").alias("_kept")).alias("c")
+    rows = docs.withColumn("text_hash", F.xxhash64("text")).alias("p").join(changed, _same("p", "c"), "left")
+    text = F.when(F.col("c.text_hash").isNotNull(), F.col("c._kept")).otherwise(F.col("p.text"))
+    return rows.select(*[text.alias("text") if c == "text" else F.col(f"p.{c}") for c in docs.columns])
+
+
+def _changed(cut: DataFrame) -> DataFrame:
+    return cut.select("doc_id", "text_hash").distinct().alias("c")
+
+
+def _find_and_cut(docs: DataFrame, window: int) -> tuple[DataFrame, DataFrame]:
+    """First-pass marks of all rows, and the cut rows of those with repeated windows; both stored."""
     id_type = dict(docs.dtypes)["doc_id"]
     docs = docs.select("doc_id", "text").withColumn("text_hash", F.xxhash64("text"))
     marks = store(_marks(docs, window, id_type).withColumn("rid", F.monotonically_increasing_id()), "marks")
@@ -120,18 +143,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, with_text: bool = Fals
     starts = _windows(doubted, window).select("rid", F.explode(F.arrays_zip("start", "window")).alias("w"))
     starts = starts.select("rid", "w.start", "w.window")
     found = _repeating(starts, "window").groupBy("rid").agg(F.collect_set("start").alias("starts"))
-    cut = _cut(doubted.drop("at").join(found, "rid"), window, id_type, with_text)
-    cut = store(cut, "cut")
-
-    # Rows without a repeated window keep all their words, as counted in the first pass.
-    plain = marks.select("doc_id", "text_hash", "n_words", "kept_sha256")
-    changed = cut.select("doc_id", "text_hash").distinct()
-    if with_text:
-        plain = docs.withColumn("n_words", F.lit(0)).withColumn("kept_sha256", F.lit(""))
-    same = plain.alias("p").join(changed.alias("c"), _same("p", "c"), "left_anti")
-    same = same.withColumn("n_removed", F.lit(0).cast("bigint"))
-    names = ["doc_id", "text"] if with_text else ["doc_id", "n_words", "n_removed", "kept_sha256"]
-    return same.select(names).unionByName(cut.select(names))
+    return marks, store(_cut(doubted.drop("at").join(found, "rid"), window, id_type), "cut")
 
 
 def _same(a: str, b: str) -> F.Column:
@@ -144,7 +156,7 @@ def _join_key(left: DataFrame, right: DataFrame) -> DataFrame:
     return joined.select("l.*", *[f"r.{c}" for c in right.columns if c not in ("doc_id", "text_hash")])
 
 
-def _cut(docs: DataFrame, window: int, id_type: str, with_text: bool) -> DataFrame:
+def _cut(docs: DataFrame, window: int, id_type: str) -> DataFrame:
     def run(rows: dict[str, list]) -> dict[str, list]:
         out: dict[str, list] = {c: [] for c in ("n_words", "n_removed", "kept_sha256", "text")}
         for text, starts in zip(rows["text"], rows["starts"], strict=True):
@@ -154,7 +166,7 @@ def _cut(docs: DataFrame, window: int, id_type: str, with_text: bool) -> DataFra
             out["n_words"].append(len(words))
             out["n_removed"].append(len(words) - len(kept))
             out["kept_sha256"].append(_sha(kept))
-            out["text"].append(b" ".join(kept).decode("utf-8", "replace") if with_text else None)
+            out["text"].append(b" ".join(kept).decode())
         return out | {"doc_id": rows["doc_id"], "text_hash": rows["text_hash"]}
 
     schema = f"doc_id {id_type}, text_hash bigint, n_words bigint, n_removed bigint, kept_sha256 string, text string"
