@@ -57,7 +57,7 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents, placed in sequences of at most 2048 ids."""
     import public_tokenizers
 
-    return pack_documents(_columns(docs), public_tokenizers.path("byte_bpe_50k.json"))
+    return pack_documents(_columns(docs), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stocklens.llm.common import map_batches, store
+from stocklens.llm.subwords import of_json
 
 CAPACITY = 2048
 #: The id that ends every document.
@@ -33,46 +34,47 @@ class ChunkIds(dict):
     """Chunk of text -> its ids as little-endian unsigned 32-bit bytes.
 
     The byte-level pre-tokeniser never joins what stands on both sides of a single space, so
-    a text without doubled spaces is the concatenation of its chunks, each with the space before it.
+    a text without doubled spaces is the concatenation of its chunks, each with the space before it. Chunks
+    seen for the first time are encoded many in one call; other texts, and those
+    that hold the text of a special token, go to the tokenizer whole.
     """
 
-    def __init__(self, tokenizer_path: str) -> None:
+    def __init__(self, tokenizer_path: str, pattern: str) -> None:
         from tokenizers import Tokenizer
 
         super().__init__()
         self._tokenizer = Tokenizer.from_file(tokenizer_path)
+        self._pieces = of_json(tokenizer_path, pattern)
         self._special = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        done = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.asarray(e.ids, "<u4").tobytes() for e in done]
+    def _learn(self, chunks: list[str]) -> None:
+        ids, begins = self._pieces.flat(chunks)
+        raw = ids.astype("<u4").tobytes()
+        at = [*(4 * begins).tolist(), len(raw)]
+        self.update(zip(chunks, (raw[i:j] for i, j in zip(at[:-1], at[1:], strict=True)), strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        chunked: list[list[str] | None] = []
+        chunked: list[list[str]] = []
         for text in texts:
-            if "  " in text or any(s in text for s in self._special):
-                chunked.append(None)
+            whole = "  " in text or any(s in text for s in self._special)
+            chunked.append([] if whole else (" " + text).replace(" ", "\0 ").split("\0")[1:] if "\0" not in text else [])
+        if len(self) > CACHE_CHUNKS:
+            self.clear()
+        if new := [c for c in set().union(*chunked) if c not in self]:
+            self._learn(new)
+        out = []
+        for text, chunks in zip(texts, chunked, strict=True):
+            if len(chunks) > 1:
+                first = self._pieces.encode(chunks[0][1:]).astype("<u4").tobytes()  # no space before the first
+                out.append(first + b"".join(map(self.__getitem__, chunks[1:])))
             else:
-                first, *rest = text.split(" ")
-                chunked.append([first, *[f" {c}" for c in rest]])
-        new = list({c for chunks in chunked if chunks for c in chunks if c not in self})
-        fresh = dict(zip(new, self._encode(new), strict=True))
-        whole = iter(self._encode([t for t, c in zip(texts, chunked, strict=True) if c is None]))
-        known = self
-        if fresh:
-            if len(self) + len(fresh) > CACHE_CHUNKS:
-                fresh |= {c: self[c] for chunks in chunked if chunks for c in chunks if c not in fresh}
-                self.clear()
-                known = fresh
-                self.update(list(fresh.items())[:CACHE_CHUNKS])
-            else:
-                self.update(fresh)
-        return [next(whole) if chunks is None else b"".join(map(known.__getitem__, chunks)) for chunks in chunked]
+                out.append(np.asarray(self._tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes())
+        return out
 
 
 @functools.cache
-def _chunk_ids(path: str) -> ChunkIds:
-    return ChunkIds(path)
+def _chunk_ids(path: str, pattern: str) -> ChunkIds:
+    return ChunkIds(path, pattern)
 
 
 def cut(n_ids: int, capacity: int) -> list[tuple[int, int]]:
@@ -83,7 +85,7 @@ def cut(n_ids: int, capacity: int) -> list[tuple[int, int]]:
     return [(0, first), *((s, capacity) for s in range(first, n_ids, capacity))]
 
 
-def tokenized_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
+def tokenized_pieces(docs: DataFrame, tokenizer_path: str, pattern: str, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32 (and ids, if asked for)."""
 
     def run(rows: dict[str, list]) -> dict[str, list]:
@@ -91,7 +93,7 @@ def tokenized_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPAC
         end = np.asarray([END_ID], "<u4").tobytes()
         texts = [t or "" for t in rows["text"]]
         for at in range(0, len(texts), 256):
-            part = zip(rows["doc_id"][at : at + 256], _chunk_ids(tokenizer_path).encode(texts[at : at + 256]), strict=True)
+            part = zip(rows["doc_id"][at : at + 256], _chunk_ids(tokenizer_path, pattern).encode(texts[at : at + 256]), strict=True)
             for doc_id, raw in part:
                 raw += end
                 for piece, (start, length) in enumerate(cut(len(raw) // 4, capacity)):
@@ -245,10 +247,11 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     return placed.select(*pieces.columns, "_place.sequence_id", "_place.offset")
 
 
-def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
-    """Pack the documents (doc_id, text) into sequences of at most `capacity` ids.
+def pack_documents(docs: DataFrame, tokenizer_path: str, pattern: str, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
+    """Pack the documents (doc_id, text) into sequences of at most `capacity` ids of the tokenizer in
+    `tokenizer_path`, a byte-level BPE that splits texts by `pattern`.
 
     Null and empty texts are the one id that ends a document; null doc_ids and repeated rows
     are packed as rows of their own; other columns are ignored; an empty table gives no rows.
     """
-    return pack(store(tokenized_pieces(docs, tokenizer_path, capacity, with_ids), "pieces"), capacity)
+    return pack(store(tokenized_pieces(docs, tokenizer_path, pattern, capacity, with_ids), "pieces"), capacity)

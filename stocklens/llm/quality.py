@@ -24,35 +24,66 @@ EPOCHS = 3
 FOLD, HELD = 3, 1
 
 
-class WordParts(dict):
-    """Word -> hashes of its letters (folded) and of its shape."""
+class WordParts:
+    """Hashes of the letters (folded) and of the shape of words, kept for words seen before."""
 
-    def __missing__(self, word: str) -> tuple[int, int]:
-        core = word.strip("!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")
-        at = word.find(core) if core else 0
-        around = word if not core else f"{word[:at][:3]}_{word[at + len(core) :][:3]}"
-        shape = f"{around}{'A' if len(core) > 1 and core.isupper() else 'a' if core else ''}"
-        value = xxhash.xxh3_64_intdigest(core.lower()), xxhash.xxh3_64_intdigest(shape)
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-        self[word] = value
-        return value
+    def __init__(self) -> None:
+        self._clear()
 
+    def _clear(self) -> None:
+        self._index: dict[str, int] = {}
+        self._hashes = np.zeros((0, 2), np.uint64)
+
+    def lookup(self, words: list[str]) -> np.ndarray:
+        """Two hashes per word."""
+        fresh = list({w for w in words if w not in self._index})
+        if fresh:
+            if len(self._index) + len(fresh) > CACHE_WORDS:
+                self._clear()
+                fresh = list(set(words))
+            at = len(self._index)
+            self._index.update(zip(fresh, range(at, at + len(fresh)), strict=True))
+            self._hashes = np.concatenate([self._hashes, np.array([_parts(w) for w in fresh], np.uint64)])
+        return self._hashes[np.fromiter(map(self._index.__getitem__, words), np.int64, len(words))]
 
-_PARTS = WordParts()
 
+def _parts(word: str) -> tuple[int, int]:
+    core = word.strip("!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")
+    at = word.find(core) if core else 0
+    around = word if not core else f"{word[:at][:3]}_{word[at + len(core) :][:3]}"
+    shape = f"{around}{'A' if len(core) > 1 and core.isupper() else 'a' if core else ''}"
+    return xxhash.xxh3_64_intdigest(core.lower()), xxhash.xxh3_64_intdigest(shape)
 
-def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """Sparse vector (indices, values) of a whole text; null and empty ones have no features."""
-    words = (text or "").split()
-    if not words:
+
+_PARTS = WordParts()
+#: Texts are looked up together up to so many words.
+GROUP_WORDS = 50_000
+
+
+def vectors(texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Sparse vectors (indices, values) of whole texts; null and empty ones have no features."""
+    out: list[tuple[np.ndarray, np.ndarray]] = []
+    group: list[list[str]] = []
+    for i, text in enumerate(texts):
+        group.append((text or "").split())
+        if sum(map(len, group)) >= GROUP_WORDS or i == len(texts) - 1:
+            found = _PARTS.lookup([w for words in group for w in words])
+            at = np.cumsum([0, *map(len, group)])
+            out += [features(found[low:high]) for low, high in zip(at[:-1], at[1:], strict=True)]
+            group = []
+    return out
+
+
+def features(parts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sparse vector of one text from the hashes of its words."""
+    n_words = len(parts)
+    if not n_words:
         return np.empty(0, np.int32), np.empty(0, np.float32)
-    parts = np.array([_PARTS[w] for w in words], np.uint64)
     core, shape = parts[:, 0], parts[:, 1]
-    same = np.zeros(len(words), np.uint64)
+    same = np.zeros(n_words, np.uint64)
     same[1:] = core[1:] == core[:-1]
-    again = np.zeros(len(words), np.uint64)
-    if len(words) >= 3:
+    again = np.zeros(n_words, np.uint64)
+    if n_words >= 3:
         _, back, n = np.unique(window_hashes(core, 3), return_inverse=True, return_counts=True)
         again[: len(back)] = n[back] > 1
     with np.errstate(over="ignore"):
@@ -92,7 +123,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS
     the executors, and only they come to the driver. Without labels, every score is 0.5."""
 
     def run(rows: dict[str, list]) -> dict[str, list]:
-        made = [features(t) for t in rows["text"]]
+        made = vectors(rows["text"])
         return {"doc_id": rows["doc_id"], "y": rows["y"], "at": [a.tobytes() for a, _ in made], "x": [x.tobytes() for _, x in made]}
 
     sample = labelled_sample(docs, labels, "quality", FOLD, HELD, train_rows)
@@ -115,7 +146,7 @@ def score_quality(docs: DataFrame, weights: np.ndarray) -> DataFrame:
 
 
 def _scores(texts: list[str | None], w: np.ndarray) -> np.ndarray:
-    return sigmoid(np.array([w[-1] + w[at] @ x for at, x in map(features, texts)], float))
+    return sigmoid(np.array([w[-1] + w[at] @ x for at, x in vectors(texts)], float))
 
 
 def accepted(docs: DataFrame, weights: np.ndarray) -> DataFrame:

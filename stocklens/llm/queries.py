@@ -14,7 +14,7 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     from stocklens.llm.packing import pack_documents
 
-    return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
 
 
 def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
