@@ -13,7 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Distinct words whose hashes a worker keeps; beyond it the cache starts anew (no effect on results).
-CACHE_WORDS = 400_000
+CACHE_WORDS = 150_000
+#: Rows that a batch function holds as Python objects at a time.
+ROWS_AT_ONCE = 1_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,8 +46,13 @@ def store(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-def map_batches(df: DataFrame, function: Callable[[dict[str, list]], dict[str, Iterable] | None], schema: str) -> DataFrame:
-    """mapInArrow over dicts of columns: `function` gets the columns of a batch as lists and
+def small(df: DataFrame, rows: int) -> DataFrame:
+    """df, to be broadcast if it has at most so many rows: it is counted first. Larger, it is joined by shuffle."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
+def map_batches(df: DataFrame, function: Callable[[dict[str, list]], dict[str, Iterable]], schema: str, rows_at_once: int = ROWS_AT_ONCE) -> DataFrame:
+    """mapInArrow over dicts of columns: `function` gets the columns of so many rows of a batch as lists and
     returns the columns of the rows that it makes of them."""
     from pyspark.sql.types import StructType
 
@@ -56,8 +63,9 @@ def map_batches(df: DataFrame, function: Callable[[dict[str, list]], dict[str, I
 
         arrow = to_arrow_schema(kinds)
         for batch in batches:
-            made = function({name: batch.column(i).to_pylist() for i, name in enumerate(batch.schema.names)})
-            if made is not None:
+            for at in range(0, batch.num_rows, rows_at_once):
+                part = batch.slice(at, rows_at_once)
+                made = function({name: part.column(i).to_pylist() for i, name in enumerate(part.schema.names)})
                 yield pa.RecordBatch.from_arrays([pa.array(made[f.name], f.type) for f in arrow], schema=arrow)
 
     return df.mapInArrow(run, schema)

@@ -25,7 +25,7 @@ END_ID = 0
 #: Pieces of one length are ranked in buckets of about so many.
 BUCKET_ROWS = 2_000
 #: Chunks of text whose ids a worker keeps.
-CACHE_CHUNKS = 300_000
+CACHE_CHUNKS = 100_000
 NNLS_STEPS = 200
 
 

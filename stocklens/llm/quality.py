@@ -8,13 +8,15 @@ share, so texts of any length are comparable.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stocklens.llm.common import CACHE_WORDS, map_batches, mix, table, window_hashes, word_hashes
+from stocklens.llm.common import CACHE_WORDS, ROWS_AT_ONCE, map_batches, mix, table, window_hashes, word_hashes
 from stocklens.llm.labelled import held_out, labelled_sample, sigmoid
 
 BITS = 18
@@ -154,8 +156,10 @@ def accepted(docs: DataFrame, weights: np.ndarray) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(weights)
 
     @F.pandas_udf("double")
-    def score(text: pd.Series) -> pd.Series:
-        return pd.Series(_scores(text.tolist(), sent.value))
+    def score(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in parts:
+            slices = [texts.iloc[at : at + ROWS_AT_ONCE].tolist() for at in range(0, len(texts), ROWS_AT_ONCE)]
+            yield pd.Series(np.concatenate([np.empty(0), *[_scores(own, sent.value) for own in slices]]))
 
     return docs.where(score("text") >= 0.5)
 
