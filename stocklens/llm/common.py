@@ -41,9 +41,23 @@ def store(df: DataFrame, label: str) -> DataFrame:
     path = f"{shared_root(spark).rstrip('/')}/llm-{label}-{uuid.uuid4().hex}"
     schema = df.schema
     df.write.parquet(path)
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
-    return spark.read.schema(schema).parquet(path)
+    files, place = _place(spark, path)
+    files.deleteOnExit(place)
+    stored = spark.read.schema(schema).parquet(path)
+    stored._stored_path = path
+    return stored
+
+
+def _place(spark: SparkSession, path: str) -> tuple:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def discard(*stored: DataFrame) -> None:
+    """Delete tables made by store() that no returned result reads any more."""
+    for df in stored:
+        files, place = _place(df.sparkSession, df._stored_path)
+        files.delete(place, True)
 
 
 def small(df: DataFrame, rows: int) -> DataFrame:

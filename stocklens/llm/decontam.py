@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stocklens.llm.common import store
+from stocklens.llm.common import discard, store
 
 WINDOW = 10
 #: Keys of texts to compare in full are broadcast up to this count (16 bytes each), else joined.
@@ -69,7 +69,7 @@ def proximity_matches(index: DataFrame, first: str, second: str, within: int) ->
 
 
 def phrase_matches(docs: DataFrame, phrases: DataFrame) -> DataFrame:
-    """Exact occurrences (h1, h2, start, pid, len) of the phrases (pid, phrase)."""
+    """Exact occurrences (h1, h2, start, pid, len) of the phrases (pid, phrase); stored."""
     terms = phrases.select("pid", F.posexplode("phrase").alias("offset", "term"))
     vocabulary = store(terms.select("term").distinct(), "vocabulary")
     frequency = store(term_frequencies(docs, vocabulary), "frequency")
@@ -97,14 +97,16 @@ def phrase_matches(docs: DataFrame, phrases: DataFrame) -> DataFrame:
     read = texts.select(*_KEY, words_of("text").alias("w")).join(starts, _KEY)
     found = F.transform("starts", lambda s: F.struct(s["start"].alias("start"), s["pid"].alias("pid"), F.slice("w", s["start"] + 1, s["len"]).alias("phrase")))
     found = read.select(*_KEY, F.explode(found).alias("f")).select(*_KEY, "f.start", "f.pid", "f.phrase")
-    return found.join(phrases, ["pid", "phrase"]).select(*_KEY, "start", "pid", F.size("phrase").alias("len"))
+    matches = store(found.join(phrases, ["pid", "phrase"]).select(*_KEY, "start", "pid", F.size("phrase").alias("len")), "matches")
+    discard(vocabulary, frequency, anchors, used, index, both, keys)
+    return matches
 
 
 def contaminated_texts(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """(h1, h2, n_hit, items) of every distinct text in which a window of an item occurs; stored."""
     of_items = store(phrases_of(items, window), "item_phrases")
     phrases = store(of_items.select("phrase").distinct().withColumn("pid", F.monotonically_increasing_id()), "phrases")
-    matches = store(phrase_matches(docs, phrases), "matches")
+    matches = phrase_matches(docs, phrases)
     places = matches.select(*_KEY, F.explode(F.sequence("start", F.col("start") + F.col("len") - 1)).alias("pos")).distinct()
     hit = places.groupBy(_KEY).agg(F.count("*").alias("n_hit"))
     ids = of_items.join(phrases, "phrase").select("pid", F.col("item_id").cast("string").alias("item"))

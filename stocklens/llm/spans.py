@@ -17,11 +17,13 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stocklens.llm.common import as_long, map_batches, split_words, store, window_hashes, word_hashes
+from stocklens.llm.common import as_long, discard, map_batches, small, split_words, store, window_hashes, word_hashes
 
 WINDOW = 35
 #: Words of the runs among which a window's minimizer is chosen.
 SEED_WORDS = 8
+#: Ids are broadcast up to this count (a few numbers each), else joined by shuffle.
+BROADCAST_IDS = 500_000
 
 
 def sliding(x: np.ndarray, width: int, best: np.ufunc) -> np.ndarray:
@@ -65,10 +67,10 @@ def _marks(docs: DataFrame, window: int, id_type: str) -> DataFrame:
             out["kept_sha256"].append(_sha(words))
             out["at"].append(at.astype(np.int32))
             out["seed"].append(as_long(seeds))
-        return out | {"doc_id": rows["doc_id"], "text_hash": rows["text_hash"]}
+        return out | {c: rows[c] for c in ("doc_id", *_KEY)}
 
-    schema = f"doc_id {id_type}, text_hash bigint, n_words bigint, kept_sha256 string, at array<int>, seed array<bigint>"
-    return map_batches(docs.select("doc_id", "text", "text_hash"), run, schema)
+    schema = f"doc_id {id_type}, h1 bigint, h2 bigint, n_words bigint, kept_sha256 string, at array<int>, seed array<bigint>"
+    return map_batches(docs.select("doc_id", "text", *_KEY), run, schema)
 
 
 def _windows(docs: DataFrame, window: int) -> DataFrame:
@@ -83,9 +85,10 @@ def _windows(docs: DataFrame, window: int) -> DataFrame:
             starts = np.nonzero(_within(len(hashes), first, np.asarray(at, np.int64)))[0]
             out["start"].append(starts.astype(np.int32))
             out["window"].append(as_long(hashes[starts]))
-        return out | {"rid": rows["rid"]}
+        return out | {"rid": rows["rid"], "copies": rows["copies"]}
 
-    return map_batches(docs.select("rid", "text", "at"), run, "rid bigint, start array<int>, window array<bigint>")
+    schema = "rid bigint, copies bigint, start array<int>, window array<bigint>"
+    return map_batches(docs.select("rid", "copies", "text", "at"), run, schema)
 
 
 def _within(n: int, first: np.ndarray, last: np.ndarray) -> np.ndarray:
@@ -96,10 +99,10 @@ def _within(n: int, first: np.ndarray, last: np.ndarray) -> np.ndarray:
 
 
 def _repeating(keyed: DataFrame, key: str) -> DataFrame:
-    """Rows whose key occurs more than once. Both reads share one shuffle by key; a key is
-    held at most once per position, so even a passage in every document is a small part of all rows."""
-    keyed = keyed.repartition(key)
-    return keyed.join(keyed.groupBy(key).count().where("count > 1").select(key), key)
+    """Rows whose key occurs more than once, a row counting `copies` times. Counts are combined before
+    their shuffle, and the join back is one that Spark splits where a key is frequent."""
+    often = keyed.groupBy(key).agg(F.sum("copies").alias("n")).where("n > 1").select(key)
+    return keyed.join(often, key)
 
 
 def repeated_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -110,53 +113,55 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     included) counts as another occurrence. Other columns are ignored.
     """
     marks, cut = _find_and_cut(docs, window)
-    same = marks.select("doc_id", "text_hash", "n_words", "kept_sha256").alias("p").join(_changed(cut), _same("p", "c"), "left_anti")
-    names = ["doc_id", "n_words", "n_removed", "kept_sha256"]
-    # Rows without a repeated window keep all their words, as counted in the first pass.
-    return same.withColumn("n_removed", F.lit(0).cast("bigint")).select(names).unionByName(cut.select(names))
+    changed = cut.select(*_KEY, "n_removed", F.col("kept_sha256").alias("left_sha256"))
+    rows = marks.select("doc_id", *_KEY, "n_words", "kept_sha256").join(changed, _KEY, "left")
+    # Texts without a repeated window keep all their words, as hashed in the first pass.
+    return rows.select("doc_id", "n_words", F.coalesce("n_removed", F.lit(0)).cast("bigint").alias("n_removed"), F.coalesce("left_sha256", "kept_sha256").alias("kept_sha256"))
 
 
 def without_repeated_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """The rows of docs with all their columns; in texts that hold a repeated window, what is left of the
     words, joined by one space. Other texts stay as they are."""
     _, cut = _find_and_cut(docs, window)
-    changed = cut.dropDuplicates(["doc_id", "text_hash"]).select("doc_id", "text_hash", F.col("text").alias("_kept")).alias("c")
-    rows = docs.withColumn("text_hash", F.xxhash64("text")).alias("p").join(changed, _same("p", "c"), "left")
-    text = F.when(F.col("c.text_hash").isNotNull(), F.col("c._kept")).otherwise(F.col("p.text"))
-    return rows.select(*[text.alias("text") if c == "text" else F.col(f"p.{c}") for c in docs.columns])
+    changed = cut.select(*[F.col(c).alias(f"_{c}") for c in (*_KEY, "text")])
+    h1, h2 = _text_key()
+    rows = docs.join(changed, (h1 == F.col("_h1")) & (h2 == F.col("_h2")), "left")
+    text = F.when(F.col("_h1").isNotNull(), F.col("_text")).otherwise(F.col("text"))
+    return rows.select(*[text.alias("text") if c == "text" else F.col(c) for c in docs.columns])
 
 
-def _changed(cut: DataFrame) -> DataFrame:
-    return cut.select("doc_id", "text_hash").distinct().alias("c")
+_KEY = ["h1", "h2"]
+
+
+def _text_key() -> tuple[F.Column, F.Column]:
+    """A 128-bit hash of the text."""
+    return F.xxhash64("text"), F.xxhash64(F.lit(1), "text")
 
 
 def _find_and_cut(docs: DataFrame, window: int) -> tuple[DataFrame, DataFrame]:
-    """First-pass marks of all rows, and the cut rows of those with repeated windows; both stored."""
+    """First-pass marks of all rows, and the distinct texts with repeated windows, cut; both stored.
+
+    Copies of a text are searched once, and count as many times as they are."""
     id_type = dict(docs.dtypes)["doc_id"]
-    docs = docs.select("doc_id", "text").withColumn("text_hash", F.xxhash64("text"))
+    h1, h2 = _text_key()
+    docs = docs.select("doc_id", "text", h1.alias("h1"), h2.alias("h2"))
     marks = store(_marks(docs, window, id_type).withColumn("rid", F.monotonically_increasing_id()), "marks")
+    texts = marks.where(F.col("n_words") >= window).groupBy(*_KEY).agg(F.count("*").alias("copies"), F.min("rid").alias("rid"))
+    texts = store(texts, "texts")
     seeds = marks.select("rid", F.explode(F.arrays_zip("at", "seed")).alias("m")).select("rid", "m.at", "m.seed")
-    own = _repeating(seeds, "seed").groupBy("rid").agg(F.collect_set("at").alias("at"))
-    own = own.join(marks.select("rid", "doc_id", "text_hash"), "rid").drop("rid").dropDuplicates(["doc_id", "text_hash"])
-    doubted = _join_key(docs, own).select("doc_id", "text_hash", "text", "at")
-    doubted = store(doubted.withColumn("rid", F.monotonically_increasing_id()), "doubted")
-    starts = _windows(doubted, window).select("rid", F.explode(F.arrays_zip("start", "window")).alias("w"))
-    starts = starts.select("rid", "w.start", "w.window")
+    seeds = seeds.join(small(texts.select("rid", "copies"), BROADCAST_IDS), "rid")
+    own = store(_repeating(seeds, "seed").groupBy("rid").agg(F.collect_set("at").alias("at")).join(texts, "rid"), "own")
+    texts_of = docs.join(small(own.select(_KEY), BROADCAST_IDS), _KEY, "left_semi").select(*_KEY, "text").dropDuplicates(_KEY)
+    doubted = store(texts_of.join(own, _KEY), "doubted")
+    windows = store(_windows(doubted, window), "windows")
+    starts = windows.select("rid", "copies", F.explode(F.arrays_zip("start", "window")).alias("w")).select("rid", "copies", "w.start", "w.window")
     found = _repeating(starts, "window").groupBy("rid").agg(F.collect_set("start").alias("starts"))
-    return marks, store(_cut(doubted.drop("at").join(found, "rid"), window, id_type), "cut")
-
-
-def _same(a: str, b: str) -> F.Column:
-    return F.col(f"{a}.doc_id").eqNullSafe(F.col(f"{b}.doc_id")) & F.col(f"{a}.text_hash").eqNullSafe(F.col(f"{b}.text_hash"))
-
-
-def _join_key(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Inner join on (doc_id, text_hash), null ids included."""
-    joined = left.alias("l").join(right.alias("r"), _same("l", "r"))
-    return joined.select("l.*", *[f"r.{c}" for c in right.columns if c not in ("doc_id", "text_hash")])
+    cut = store(_cut(doubted.drop("at").join(found, "rid"), window), "cut")
+    discard(texts, own, doubted, windows)
+    return marks, cut
 
 
-def _cut(docs: DataFrame, window: int, id_type: str) -> DataFrame:
+def _cut(docs: DataFrame, window: int) -> DataFrame:
     def run(rows: dict[str, list]) -> dict[str, list]:
         out: dict[str, list] = {c: [] for c in ("n_words", "n_removed", "kept_sha256", "text")}
         for text, starts in zip(rows["text"], rows["starts"], strict=True):
@@ -167,10 +172,10 @@ def _cut(docs: DataFrame, window: int, id_type: str) -> DataFrame:
             out["n_removed"].append(len(words) - len(kept))
             out["kept_sha256"].append(_sha(kept))
             out["text"].append(b" ".join(kept).decode())
-        return out | {"doc_id": rows["doc_id"], "text_hash": rows["text_hash"]}
+        return out | {c: rows[c] for c in _KEY}
 
-    schema = f"doc_id {id_type}, text_hash bigint, n_words bigint, n_removed bigint, kept_sha256 string, text string"
-    return map_batches(docs.select("doc_id", "text_hash", "text", "starts"), run, schema)
+    schema = "h1 bigint, h2 bigint, n_words bigint, n_removed bigint, kept_sha256 string, text string"
+    return map_batches(docs.select(*_KEY, "text", "starts"), run, schema)
 
 
 class SuffixAutomaton:
