@@ -31,16 +31,17 @@ from stocklens.operators.ordered import prefix_sum
 
 def inventory_turnover(sales: DataFrame, inventory: DataFrame, parts: DataFrame, as_of=None) -> DataFrame:
     """COGS of the trailing 12 months over the mean snapshot value, by category."""
-    start = F.add_months(as_of_or_max(as_of, sales, "transaction_date"), -12)
+    today = as_of_or_max(as_of, sales, "transaction_date")
+    start = F.add_months(today, -12)
     category = parts.select("part_id", "category")
     cogs = (
-        sales.where(F.col("transaction_date") >= start)
+        sales.where(F.col("transaction_date").between(start, today))
         .groupBy("part_id").agg(F.sum("cogs").alias("cogs"))
         .join(category, "part_id")
         .groupBy("category").agg(F.sum("cogs").alias("total_cogs"))
     )
     stock = (
-        inventory.where(F.col("snapshot_date") >= start)
+        inventory.where(F.col("snapshot_date").between(start, today))
         .groupBy("part_id")
         .agg(F.sum("total_stock_value").alias("value"), F.count("total_stock_value").alias("n"))
         .join(category, "part_id")
@@ -62,9 +63,10 @@ def inventory_turnover(sales: DataFrame, inventory: DataFrame, parts: DataFrame,
 
 def fill_rate(sales: DataFrame, dealers: DataFrame, as_of=None, days: int = 90) -> DataFrame:
     """Order lines fulfilled and backordered per dealer over the last ``days``."""
-    start = F.date_sub(as_of_or_max(as_of, sales, "transaction_date"), days)
+    today = as_of_or_max(as_of, sales, "transaction_date")
+    start = F.date_sub(today, days)
     lines = (
-        sales.where(F.col("transaction_date") >= start)
+        sales.where(F.col("transaction_date").between(start, today))
         .groupBy("dealer_id")
         .agg(
             F.count(F.lit(1)).alias("lines"),
@@ -91,10 +93,12 @@ def fill_rate(sales: DataFrame, dealers: DataFrame, as_of=None, days: int = 90)
 def stock_with_movement(inventory: DataFrame, sales: DataFrame, as_of) -> DataFrame:
     """Latest stock per part and dealer with days since the last sale (or movement)."""
     today = as_of_or_max(as_of, sales, "transaction_date")
-    stock = latest_row(inventory, "snapshot_date", ["qty_on_hand", "total_stock_value", "last_movement_date"])
+    held = inventory if as_of is None else inventory.where(F.col("snapshot_date") <= today)
+    sold = sales.where(F.col("transaction_date") <= today)
+    stock = latest_row(held, "snapshot_date", ["qty_on_hand", "total_stock_value", "last_movement_date"])
     moved = F.coalesce("last_sale_date", "last_movement_date")
     return (
-        stock.join(last_event(sales, "transaction_date", "last_sale_date"), list(KEYS), "left")
+        stock.join(last_event(sold, "transaction_date", "last_sale_date"), list(KEYS), "left")
         .withColumn("last_movement", moved)
         .withColumn("days_no_movement", F.datediff(today, "last_movement"))
     )
@@ -124,15 +128,17 @@ def stock_health(
     inventory: DataFrame, sales: DataFrame, parts: DataFrame, dealers: DataFrame, as_of=None, days: int = 90
 ) -> DataFrame:
     """Latest stock against the mean daily demand of the last ``days``."""
-    start = F.date_sub(as_of_or_max(as_of, sales, "transaction_date"), days)
+    today = as_of_or_max(as_of, sales, "transaction_date")
+    start = F.date_sub(today, days)
     demand = (
-        sales.where(F.col("transaction_date") >= start)
+        sales.where(F.col("transaction_date").between(start, today))
         .groupBy(*KEYS).agg(F.sum("qty_sold").alias("qty"))
         .withColumn("daily", num_round(F.col("qty") / float(days), 4))
     )
     daily = F.coalesce("daily", F.lit(0.0))
+    held = inventory if as_of is None else inventory.where(F.col("snapshot_date") <= today)
     return (
-        latest_row(inventory, "snapshot_date", ["qty_on_hand", "total_stock_value"])
+        latest_row(held, "snapshot_date", ["qty_on_hand", "total_stock_value"])
         .join(demand, list(KEYS), "left")
         .join(parts.select("part_id", "part_number", "part_name", "category"), "part_id")
         .join(dealers.select("dealer_id", "dealer_name"), "dealer_id")
@@ -193,9 +199,10 @@ def abc_revenue(
     sales: DataFrame, parts: DataFrame, dealers: DataFrame, as_of=None, s: Settings = DEFAULTS
 ) -> DataFrame:
     """Pareto classes of year-to-date revenue per part and dealer."""
-    start = F.trunc(as_of_or_max(as_of, sales, "transaction_date"), "YEAR")
+    today = as_of_or_max(as_of, sales, "transaction_date")
+    start = F.trunc(today, "YEAR")
     revenue = (
-        sales.where(F.col("transaction_date") >= start)
+        sales.where(F.col("transaction_date").between(start, today))
         .groupBy(*KEYS).agg(F.sum("revenue").alias("annual"))
     )
     ranked = prefix_sum(

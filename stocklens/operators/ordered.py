@@ -16,8 +16,6 @@ from pyspark.sql import functions as F
 from stocklens.sources.scratch import materialize
 
 _CHUNK = "_chunk"
-# Distinct values per key up to which one aggregation buffer may hold them (a few MB).
-WIDE_KEY = 100_000
 
 
 def prefix_sum(
@@ -53,11 +51,12 @@ def prefix_sum(
     running = ranged.select("*", *[F.sum(f"_in_{o}").over(frame).alias(f"_run_{o}") for o in sums])
     totals = ranged.groupBy(_CHUNK, *group_by).agg(*[F.sum(f"_in_{o}").alias(f"_t_{o}") for o in sums])
     carry = _grouped_carry(totals, list(sums), group_by) if group_by else _global_carry(totals, list(sums))
-    joined = running.join(F.broadcast(carry), [_CHUNK, *group_by], "left")
+    same = [F.col(f"r.{k}").eqNullSafe(F.col(f"c.{k}")) for k in (_CHUNK, *group_by)]
+    joined = running.alias("r").join(F.broadcast(carry).alias("c"), same, "left")
     out = [
-        (F.col(f"_run_{o}") + F.coalesce(F.col(f"_carry_{o}"), F.lit(0))).alias(o) for o in sums
+        (F.col(f"r._run_{o}") + F.coalesce(F.col(f"c._carry_{o}"), F.lit(0))).alias(o) for o in sums
     ]
-    return joined.select(*df.columns, *out)
+    return joined.select(*[F.col(f"r.{c}") for c in df.columns], *out)
 
 
 def _as_col(c: str | Column) -> Column:
@@ -110,35 +109,18 @@ def exact_quantiles(
     value: str,
     probs: Mapping[str, float],
     weight: str | None = None,
-    wide: int = WIDE_KEY,
 ) -> DataFrame:
     """Exact quantiles per key with linear interpolation between neighbours.
 
     The rows are first reduced to a (key, value) histogram with map-side combine,
-    so a hot key costs its distinct values, not its rows. Keys with at most ``wide``
-    distinct values use the built-in weighted percentile, whose buffer is then
-    bounded; any wider key is ranked by a chunked prefix sum, so that no task holds
-    or sorts it. ``weight`` names a repeat count when ``df`` is a histogram already.
+    so a hot key costs its distinct values, not its rows. Every key, null included, is then
+    ranked by a chunked prefix sum, so that no task holds or sorts a wide one.
+    ``weight`` names a repeat count when ``df`` is a histogram already.
     """
     keys = list(keys)
     repeats = F.sum(weight) if weight else F.count(F.lit(1))
-    histogram = materialize(
-        df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(repeats.alias("_n")), "histogram"
-    )
-    wide_keys = histogram.groupBy(*keys).agg(F.count(F.lit(1)).alias("_d")).where(F.col("_d") > wide).select(*keys)
-    if wide_keys.isEmpty():
-        return _percentiles(histogram, keys, value, probs)
-    same = [F.col(f"h.{k}").eqNullSafe(F.col(f"w.{k}")) for k in keys]
-    split = lambda kind: histogram.alias("h").join(wide_keys.alias("w"), same, kind)
-    return _percentiles(split("left_anti"), keys, value, probs).unionByName(
-        _ranked_quantiles(split("left_semi"), keys, value, probs)
-    )
-
-
-def _percentiles(histogram: DataFrame, keys: list[str], value: str, probs: Mapping[str, float]) -> DataFrame:
-    points = F.percentile(F.col(value).cast("double"), list(probs.values()), F.col("_n")).alias("_p")
-    found = histogram.groupBy(*keys).agg(points)
-    return found.select(*keys, *[F.col("_p").getItem(i).alias(out) for i, out in enumerate(probs)])
+    histogram = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(repeats.alias("_n"))
+    return _ranked_quantiles(histogram, keys, value, probs)
 
 
 def _ranked_quantiles(histogram: DataFrame, keys: list[str], value: str, probs: Mapping[str, float]) -> DataFrame:
@@ -153,7 +135,9 @@ def _ranked_quantiles(histogram: DataFrame, keys: list[str], value: str, probs:
             F.min(F.when(F.col("_upto") > F.ceil(at), F.col(value))).cast("double").alias(f"_hi_{out}"),
             F.max(at - F.floor(at)).alias(f"_w_{out}"),
         ]
-    found = ranked.join(sizes, keys).groupBy(*keys).agg(*picks)
+    same = [F.col(f"r.{k}").eqNullSafe(F.col(f"s.{k}")) for k in keys]
+    sized = ranked.alias("r").join(sizes.alias("s"), same).select("r.*", "s._size")
+    found = sized.groupBy(*keys).agg(*picks)
     between = lambda o: F.col(f"_lo_{o}") + (F.col(f"_hi_{o}") - F.col(f"_lo_{o}")) * F.col(f"_w_{o}")
     return found.select(*keys, *[between(o).alias(o) for o in probs])
 

@@ -1,5 +1,6 @@
 import datetime as dt
 
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -138,3 +139,19 @@ def test_dashboard_lists(star):
     scores = star["parts"].select("part_id", F.lit(1).alias("dealer_id"), F.lit(0.9).alias("stockout_probability"))
     acts = dashboards.action_list(star["inventory"], star["policy"], star["parts"], abc, scores).collect()
     assert [(r["part_number"], r["dealer_id"], r["stockout_probability"]) for r in acts] == [("P-1", 1, 0.9), ("P-2", 2, None)]
+
+
+def test_rows_after_as_of_are_not_seen(spark):
+    day = lambda text: dt.date.fromisoformat(text)
+    sales = spark.createDataFrame(
+        [(1, 1, day("2024-01-10"), 5, True, 0), (1, 1, day("2024-06-01"), 500, False, 500)],
+        "part_id INT, dealer_id INT, transaction_date DATE, qty_sold INT, was_fulfilled BOOLEAN, backorder_qty INT",
+    )
+    stock = spark.createDataFrame(
+        [(1, 1, day("2024-01-01"), 3, 30.0, day("2023-12-01")), (1, 1, day("2024-07-01"), 9, 90.0, day("2024-06-01"))],
+        "part_id INT, dealer_id INT, snapshot_date DATE, qty_on_hand INT, total_stock_value DOUBLE, last_movement_date DATE",
+    )
+    dealers = spark.createDataFrame([(1, "D", "R")], "dealer_id INT, dealer_name STRING, region STRING")
+    assert kpi.fill_rate(sales, dealers, "2024-01-31").first()["total_order_lines"] == 1
+    moved = kpi.stock_with_movement(stock, sales, "2024-01-31").first()
+    assert (moved["qty_on_hand"], moved["days_no_movement"]) == (3, 21)

@@ -20,7 +20,15 @@ def test_global_running_sum_with_hot_ties(spark, seed):
     assert {r["id"]: (r["run"], r["n"]) for r in got} == expected
 
 
-def test_grouped_running_sum_with_one_hot_group(spark):
+@pytest.fixture
+def many_chunks(spark):
+    """Small inputs keep their range partitions, so that sums carry over from chunk to chunk."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_grouped_running_sum_with_one_hot_group(spark, many_chunks):
     rng = random.Random(3)
     data = [(None if rng.random() < 0.1 else ("hot" if rng.random() < 0.6 else f"g{rng.randint(0, 40)}"), i, rng.randint(1, 9)) for i in range(4000)]
     df = spark.createDataFrame(data, "g STRING, id INT, v BIGINT")
@@ -29,8 +37,7 @@ def test_grouped_running_sum_with_one_hot_group(spark):
     for g, i, v in data:
         sums[g] = sums.get(g, 0) + v
         expected[i] = sums[g]
-    named = {i for g, i, _ in data if g is not None}
-    assert {i: got[i] for i in named} == {i: expected[i] for i in named}
+    assert got == expected
 
 
 def test_row_rank(spark):
@@ -40,14 +47,13 @@ def test_row_rank(spark):
     assert all(r["row_rank"] == r["id"] for r in ordered.row_rank(df, [F.asc("id")]).collect())
 
 
-@pytest.mark.parametrize("wide", [100_000, 150, 0])
-def test_quantiles_match_numpy(spark, wide):
+def test_quantiles_match_numpy(spark, many_chunks):
     rng = random.Random(9)
     data = [("hot" if rng.random() < 0.5 else f"k{rng.randint(0, 5)}", None if rng.random() < 0.05 else round(rng.gauss(50, 20), 1)) for _ in range(3000)]
-    data.append(("single", 4.0))
+    data += [("single", 4.0)] + [(None, float(i)) for i in range(50)]
     df = spark.createDataFrame(data, "k STRING, v DOUBLE")
     probs = {"q1": 0.25, "med": 0.5, "p90": 0.9}
-    got = {r["k"]: r for r in ordered.exact_quantiles(df, ["k"], "v", probs, wide=wide).collect()}
+    got = {r["k"]: r for r in ordered.exact_quantiles(df, ["k"], "v", probs).collect()}
     for k in {d[0] for d in data}:
         values = [v for kk, v in data if kk == k and v is not None]
         for name, p in probs.items():
