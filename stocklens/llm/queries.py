@@ -88,4 +88,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_toxicity": op10_toxicity,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op9_exact_top_k": """
+        WITH v AS (
+            SELECT vec_id, row_number() OVER () AS rid, list_transform(embedding, lambda x: floor(x::DOUBLE * 256)) AS v
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), pairs AS (
+            SELECT q.vec_id AS query_id, q.rid AS q_rid, c.vec_id, c.rid, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+            FROM v q JOIN v c ON q.rid <> c.rid AND len(q.v) = len(c.v)
+            WHERE q.vec_id % 50 = 0
+        ), ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY q_rid ORDER BY score DESC, vec_id, rid) AS r FROM pairs
+        )
+        SELECT query_id, CAST(r AS INTEGER) AS rank, vec_id, score FROM ranked WHERE r <= 5""",
+}
