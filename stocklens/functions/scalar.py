@@ -17,6 +17,30 @@ from stocklens.config import DEFAULTS, Settings
 KEYS = ("part_id", "dealer_id")
 
 
+# ---------------------------------------------------------------- numbers and dates in text
+# Date forms besides ISO that extracts use, tried in this order.
+DATE_FORMATS = ("yyyy/M/d", "M/d/yyyy", "yyyyMMdd")
+WHOLE = ("tinyint", "smallint", "int", "bigint")
+
+
+def number_from_text(column: str, kind: str) -> Column:
+    """Text as a number of type ``kind``, null where it is none.
+
+    Integers may be written with a fraction of zero ("5.0", as exporters write nullable
+    integers); "5.5" is not an integer.
+    """
+    if kind not in WHOLE:
+        return F.col(column).try_cast(kind)
+    exact = F.col(column).try_cast("decimal(38,10)")
+    return F.when(exact == F.floor(exact), exact.try_cast(kind))
+
+
+def date_from_text(column: str) -> Column:
+    """Text as a date: ISO first, then each of DATE_FORMATS; null where none fits."""
+    others = [F.try_to_timestamp(F.trim(column), F.lit(f)).cast("date") for f in DATE_FORMATS]
+    return F.coalesce(F.col(column).try_cast("date"), *others)
+
+
 # ---------------------------------------------------------------- as-of dates
 def as_date(value) -> Column:
     """Turn a date, ISO string or Column into a DATE expression."""

@@ -118,16 +118,15 @@ def abc_xyz(
 ) -> DataFrame:
     """Both classes per part and dealer over the trailing window (both ends included).
 
-    The facts are read once: revenue, quantity sums and a bit mask of the months
-    seen come from the same two-level aggregate. The key-level result is written,
-    and the number of observed months is the bit count of all masks together.
+    The facts are read once: revenue, quantity sums and bit masks of the months
+    seen (one for every 60 months) come from the same two-level aggregate. The key-level
+    result is written, and the number of observed months is the bit count of all masks together.
     """
-    if months > 60:
-        raise ValueError("the month mask holds at most 60 months")
     end = as_date(as_of if as_of is not None else resolve_as_of(sales, "transaction_date"))
     start = F.add_months(end, -months)
     month = month_start("transaction_date")
-    bit = F.expr("shiftleft(CAST(1 AS BIGINT), _offset)")
+    bit = F.expr("shiftleft(CAST(1 AS BIGINT), _offset % 60)")
+    masks = {f"_seen{i}": F.bit_or(F.when(F.floor(F.col("_offset") / 60) == i, bit)) for i in range(months // 60 + 1)}
     keyed = materialize(
         sales.where((F.col("transaction_date") >= start) & (F.col("transaction_date") <= end))
         .groupBy(*KEYS, month_diff(start, month).alias("_offset"))
@@ -137,13 +136,14 @@ def abc_xyz(
             F.sum("_rev").alias("annual_revenue"),
             F.sum("_q").alias("_s"),
             F.sum(square(F.col("_q"))).alias("_qq"),
-            F.bit_or(bit).alias("_seen"),
+            *[mask.alias(name) for name, mask in masks.items()],
         ),
         "abcxyz",
     )
     if keyed.isEmpty():
         raise ValueError("No sales data in the reference period.")
-    observed = keyed.select(F.bit_count(F.bit_or("_seen"))).scalar()
+    seen = [F.coalesce(F.bit_count(F.bit_or(name)), F.lit(0)) for name in masks]
+    observed = keyed.select(sum(seen, F.lit(0))).scalar()
     ranked = classify_abc(keyed, "annual_revenue", KEYS, s.abc_a_pct, s.abc_b_pct, boundary)
     return ranked.withColumns(_xyz_columns(observed, F.col("_s"), F.col("_qq"), s)).select(
         *KEYS,

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stocklens.config import DEFAULTS, Settings
-from stocklens.functions.scalar import KEYS, as_of_or_max, clip, exact_std, safe_divide
+from stocklens.functions.scalar import KEYS, as_date, as_of_or_max, clip, exact_std, safe_divide
 from stocklens.operators.latest import last_non_null
 from stocklens.sources.scratch import materialize
 
@@ -26,7 +26,9 @@ FEATURE_COLS = (
 TARGET_COL = "will_stockout_14d"
 
 
-def latest_inventory(inventory: DataFrame) -> DataFrame:
+def latest_inventory(inventory: DataFrame, as_of=None) -> DataFrame:
+    if as_of is not None:
+        inventory = inventory.where(F.col("snapshot_date") <= as_date(as_of))
     return last_non_null(
         inventory, "snapshot_date", ["qty_on_hand", "qty_available", "qty_in_transit", "total_stock_value"]
     )
@@ -51,7 +53,8 @@ def demand_windows(sales: DataFrame, windows: Sequence[int] = (30, 60, 90), as_o
             F.when(n > 0, n).alias(f"txn_count_{d}d"),
             F.when(n > 0, std).alias(f"demand_std_{d}d"),
         ]
-    recent = sales.where(F.col("transaction_date") >= F.date_sub(today, max(windows)))
+    day = F.col("transaction_date")
+    recent = sales.where((day >= F.date_sub(today, max(windows))) & (day <= today))
     aged = recent.withColumn("_age", F.datediff(today, F.col("transaction_date")))
     return aged.groupBy(*KEYS).agg(*aggs).select(*KEYS, *out)
 
@@ -94,7 +97,7 @@ def build_features(
     s: Settings = DEFAULTS,
 ) -> DataFrame:
     keys = list(KEYS)
-    df = latest_inventory(inventory).join(demand_windows(sales, as_of=as_of), keys, "left")
+    df = latest_inventory(inventory, as_of).join(demand_windows(sales, as_of=as_of), keys, "left")
     df = df.withColumns(
         {
             "avg_daily_demand_30d": F.col("qty_sold_30d") / 30.0,
@@ -105,13 +108,17 @@ def build_features(
     cover = safe_divide(F.col("qty_available"), F.col("avg_daily_demand_30d"), 999.0)
     df = df.withColumn("days_coverage", clip(cover, high=365.0))
     if policies is not None:
+        # A policy table without rows counts as no table.
+        some = policies.select(F.count(F.lit(1)) > 0).scalar()
         cols = ["safety_stock_qty", "reorder_point", "avg_lead_time_days", "lead_time_std_dev", "economic_order_qty"]
         df = df.join(policies.select(*keys, *cols), keys, "left").withColumns(
             {
-                "stock_vs_rop": F.col("qty_available") - F.col("reorder_point"),
-                "safety_stock_coverage_days": safe_divide(
-                    F.col("safety_stock_qty"), F.col("avg_daily_demand_30d"), 0.0
-                ),
+                "stock_vs_rop": F.when(some, F.col("qty_available") - F.col("reorder_point")).otherwise(F.lit(0)),
+                "safety_stock_coverage_days": F.when(
+                    some, safe_divide(F.col("safety_stock_qty"), F.col("avg_daily_demand_30d"), 0.0)
+                ).otherwise(F.lit(0.0)),
+                "avg_lead_time_days": F.when(some, F.col("avg_lead_time_days")).otherwise(F.lit(s.default_lead_time)),
+                "lead_time_std_dev": F.when(some, F.col("lead_time_std_dev")).otherwise(F.lit(s.default_lead_time_std)),
             }
         )
     else:

@@ -142,8 +142,9 @@ def units_by_customer_type(sales: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- supplier page
 def supplier_on_time(po: DataFrame, suppliers: DataFrame, as_of) -> DataFrame:
     """On-time share of orders closed in the last 12 months, banded."""
-    start = F.add_months(as_of_or_max(as_of, po, "order_date"), -12)
-    recent = po.where((F.col("po_status") == "Closed") & (F.col("order_date") >= start))
+    end = as_of_or_max(as_of, po, "order_date")
+    inside = (F.col("order_date") >= F.add_months(end, -12)) & (F.col("order_date") <= end)
+    recent = po.where((F.col("po_status") == "Closed") & inside)
     rates = recent.groupBy("supplier_id").agg(
         F.count(F.lit(1)).alias("closed_pos"), F.count_if(F.col("lead_time_delta") <= 0).alias("ok")
     )

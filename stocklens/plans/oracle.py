@@ -62,9 +62,7 @@ fact_inventory AS (
     FROM part CROSS JOIN region CROSS JOIN (
       SELECT DISTINCT CAST(date_trunc('month', l_shipdate) AS DATE) AS snapshot_date,
              year(l_shipdate) * 12 + month(l_shipdate) AS mo
-      FROM lineitem
-      WHERE year(l_shipdate) * 12 + month(l_shipdate) >=
-            (SELECT max(year(l_shipdate) * 12 + month(l_shipdate)) - 12 FROM lineitem)) m) i),
+      FROM lineitem WHERE l_shipdate IS NOT NULL) m) i),
 fact_purchase_orders AS (
   SELECT q.*, CAST(qty_ordered * unit_cost AS DECIMAL(16,2)) AS total_cost
   FROM (
@@ -237,7 +235,7 @@ live AS (SELECT * FROM dated WHERE day <= (SELECT d FROM today) AND revenue IS N
 firsts AS (
   SELECT * EXCLUDE (rn) FROM (
     SELECT *, row_number() OVER (PARTITION BY day, part_id, dealer_id, qty_sold, unit_price
-      ORDER BY customer_type NULLS FIRST, discount_pct NULLS FIRST, revenue NULLS FIRST, was_fulfilled, backorder_qty) AS rn
+      ORDER BY CAST(customer_type IS NULL AS INT) + CAST(discount_pct IS NULL AS INT), customer_type NULLS FIRST, discount_pct NULLS FIRST, revenue NULLS FIRST, was_fulfilled, backorder_qty) AS rn
     FROM live) t WHERE rn = 1),
 valid AS (SELECT * REPLACE (greatest(least(discount_pct, CASE WHEN discount_pct IS NULL THEN NULL ELSE 100 END),
                             CASE WHEN discount_pct IS NULL THEN NULL ELSE 0 END) AS discount_pct),

@@ -68,7 +68,7 @@ TABLES: dict[str, StructType] = {
     "analytics_abc_xyz": struct_of(
         "classification_id BIGINT, classification_month DATE, part_id INT, dealer_id INT, abc_class STRING, "
         "xyz_class STRING, combined_class STRING, annual_revenue DECIMAL(16,2), revenue_pct DECIMAL(6,3), "
-        "cumulative_revenue_pct DECIMAL(6,3), demand_cov DECIMAL(8,4), avg_monthly_demand DECIMAL(10,2)"
+        "cumulative_revenue_pct DECIMAL(6,3), demand_cov DECIMAL(18,4), avg_monthly_demand DECIMAL(10,2)"
     ),
     "analytics_reorder_policy": struct_of(
         "policy_id BIGINT, effective_date DATE, part_id INT, dealer_id INT, avg_daily_demand DECIMAL(10,4), "
@@ -184,8 +184,7 @@ def policy_table(policies: DataFrame, effective_date) -> DataFrame:
 def abc_xyz_table(classified: DataFrame, month) -> DataFrame:
     """Classification under the warehouse column names."""
     named = classified.withColumnRenamed("cum_rev_pct", "cumulative_revenue_pct")
-    capped = named.withColumn("demand_cov", F.least(F.col("demand_cov"), F.lit(9999.0)))
-    return conform(capped.withColumn("classification_month", month_start(as_date(month))), "analytics_abc_xyz")
+    return conform(named.withColumn("classification_month", month_start(as_date(month))), "analytics_abc_xyz")
 
 
 def forecast_table(forecasts: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from stocklens.functions.scalar import month_start
+from stocklens.functions.scalar import as_date, month_start, number_from_text
 from stocklens.schemas import PARTITION_DATE, PO_STUB_COLUMNS, TABLES, conform, struct_of
 
 log = logging.getLogger(__name__)
@@ -46,18 +46,26 @@ OUTPUT_FILES = {
 }
 
 
-def read_csv(spark: SparkSession, path: str, schema: str | StructType | None = None) -> DataFrame:
+#: Column with the place of a row in its source: file, start of the split in it, number within the split.
+POSITION = "_position"
+
+
+def read_csv(spark: SparkSession, path: str, schema: str | StructType | None = None, position: bool = False) -> DataFrame:
     """Header CSV. Columns are bound by *name*; unknown ones stay strings.
 
     Casting is tolerant (a bad number becomes null and is then counted by the
-    cleaner), and reading never infers a schema, which would cost an extra pass.
+    cleaner), whole numbers may be written as "5.0", and reading never infers a schema, which
+    would cost an extra pass. ``position`` adds POSITION, which orders rows as the files do.
     """
     raw = spark.read.csv(path, header=True, enforceSchema=False)
+    if position:
+        place = (F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
+        raw = raw.select("*", F.struct(*[c.alias(n) for c, n in zip(place, ("file", "split", "row"), strict=True)]).alias(POSITION))
     if schema is None:
         return raw
     types = {f.name: f.dataType for f in _struct(schema).fields}
     return raw.select(
-        *[F.col(c).try_cast(types[c]).alias(c) if c in types else F.col(c) for c in raw.columns]
+        *[number_from_text(c, types[c].simpleString()).alias(c) if c in types else F.col(c) for c in raw.columns]
     )
 
 
@@ -92,16 +100,25 @@ def write_outputs(results: Mapping[str, DataFrame], folder: str, run_at: dt.date
     run_dir = f"{folder.rstrip('/')}/{(run_at or dt.datetime.now()):%Y%m%d_%H%M}"
     for key, name in OUTPUT_FILES.items():
         df = results.get(key)
-        if df is None or df.isEmpty():
+        if df is None:
             continue
         path = f"{run_dir}/{name}"
         if name.endswith(".csv"):
             df.coalesce(1).write.mode("overwrite").csv(path, header=True)
         else:
             df.write.mode("overwrite").option("compression", "snappy").parquet(path)
+        _drop_if_empty(df, path, "csv" if name.endswith(".csv") else "parquet")
     return run_dir
 
 
+def _drop_if_empty(df: DataFrame, path: str, kind: str) -> None:
+    """Remove a result without rows; what was written is looked at, so that nothing is computed twice."""
+    spark = df.sparkSession
+    if spark.read.schema(df.schema).format(kind).option("header", True).load(path).isEmpty():
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def write_table(df: DataFrame, table: str, folder: str, mode: str = "overwrite") -> str:
     """Store a warehouse table as Parquet; facts in one directory per month.
 
@@ -124,9 +141,20 @@ def _spread(table: str) -> list[str]:
     return [c for c in ("part_id", "dealer_id", "supplier_id") if c in TABLES[table].names]
 
 
-def read_table(spark: SparkSession, table: str, folder: str) -> DataFrame:
-    """A stored warehouse table with its declared types."""
+def read_table(spark: SparkSession, table: str, folder: str, start=None, end=None) -> DataFrame:
+    """A stored warehouse table with its declared types.
+
+    ``start`` and ``end`` (days, both included) bound a fact by its date; the months that they lie
+    in bound the directories that are read.
+    """
     schema = TABLES[table]
     if table in PARTITION_DATE:
         schema = StructType(schema.fields[:]).add("month", "date")
-    return spark.read.schema(schema).parquet(f"{folder.rstrip('/')}/{table}")
+    stored = spark.read.schema(schema).parquet(f"{folder.rstrip('/')}/{table}")
+    if (start is not None or end is not None) and table not in PARTITION_DATE:
+        raise ValueError(f"{table} has no date to bound")
+    if start is not None:
+        stored = stored.where((F.col("month") >= month_start(as_date(start))) & (F.col(PARTITION_DATE[table]) >= as_date(start)))
+    if end is not None:
+        stored = stored.where((F.col("month") <= month_start(as_date(end))) & (F.col(PARTITION_DATE[table]) <= as_date(end)))
+    return stored

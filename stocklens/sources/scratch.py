@@ -28,11 +28,15 @@ def materialize(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -
 
     Used where two branches must see the very same rows (for example the same
     range partitioning) or where one expensive result feeds several consumers.
-    The copy outlives executors, is compressed, and later reads prune columns.
+    The copy outlives executors, is compressed, and later reads prune columns. The
+    session's JVM owns it and deletes it when it ends.
     """
-    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/stocklens/{label}-{uuid.uuid4().hex}"
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/stocklens/{label}-{uuid.uuid4().hex}"
     writer = df.write.option("compression", "snappy")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
+    return spark.read.schema(df.schema).parquet(path)

@@ -45,19 +45,6 @@ class Star:
         """Latest transaction date: one aggregate over one column."""
         return self.raw("lineitem").agg(F.max(F.col("l_shipdate").cast("date"))).first()[0]
 
-    @cached_property
-    def _lineitem(self) -> DataFrame:
-        """The line table in at least as many tasks as there are cores.
-
-        A small file with a single row group scans as one task and would hold the
-        whole plan above it on one core. Large inputs have more splits than cores
-        and are left alone; filters and column pruning pass through the shuffle.
-        """
-        lines, cores = self.raw("lineitem"), self.spark.sparkContext.defaultParallelism
-        if lines.rdd.getNumPartitions() >= cores:
-            return lines
-        return lines.repartition(cores, "l_orderkey", "l_linenumber")
-
     # -- dimensions
     @cached_property
     def dealers(self) -> DataFrame:
@@ -113,7 +100,7 @@ class Star:
         )
         cost = self.raw("part").select("p_partkey", _dec(F.col("p_retailprice") * 0.6, 12).alias("cost"))
         return (
-            self._lineitem
+            self.raw("lineitem")
             .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
             .join(cost, F.col("l_partkey") == F.col("p_partkey"))
         )
@@ -143,20 +130,20 @@ class Star:
 
     @cached_property
     def inventory(self) -> DataFrame:
-        """A month-start snapshot per part and dealer for the last 13 months of sales.
+        """A month-start snapshot per part and dealer for every month of sales.
 
         Dealers (one per region) and months are short arrays taken as scalar
         subqueries and exploded per part: the snapshot table is generated in
         parallel over parts, without a join.
         """
         month = F.trunc(F.col("l_shipdate").cast("date"), "MM").alias("m")
-        index = F.year("m") * 12 + F.month("m")
         seen = self.raw("lineitem").select(month).distinct()
-        newest = seen.select(F.max(index)).scalar()
-        months = seen.where(index >= newest - 12).select(F.array_sort(F.collect_list("m"))).scalar()
+        months = seen.select(F.array_sort(F.collect_list("m"))).scalar()
         dealers = self.raw("region").select(F.array_sort(F.collect_list("r_regionkey"))).scalar()
+        # Dealt to all cores while it is small: each part becomes a row per dealer and month.
         grid = (
             self.raw("part")
+            .repartition(self.spark.sparkContext.defaultParallelism, "p_partkey")
             .select("p_partkey", "p_retailprice", F.explode(dealers).alias("dealer_id"))
             .select("*", F.explode(months).alias("snapshot_date"))
         )

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructType
 
+from stocklens.functions.scalar import number_from_text
 from stocklens.operators.cleaning import CLEANERS, SALES_DUPLICATE_KEY
 from stocklens.schemas import struct_of
 
@@ -42,7 +43,7 @@ def clean_stream(
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     raw = reader.csv(input_dir)
-    typed = raw.select(*[F.col(c).try_cast(types[c]).alias(c) if c in types else F.col(c) for c in names])
+    typed = raw.select(*[number_from_text(c, types[c].simpleString()).alias(c) if c in types else F.col(c) for c in names])
 
     def store(batch: DataFrame, batch_id: int) -> None:
         clean = cleaner(batch, **options).clean

@@ -97,6 +97,13 @@ def test_window_is_trailing_and_inclusive(spark):
         abc_xyz(df, as_of="2030-01-01")
 
 
+def test_windows_of_many_years(spark):
+    rows = [(dt.date(2014 + i // 12, i % 12 + 1, 3), 1, 1, 4, 10.0) for i in range(124)]
+    df = spark.createDataFrame(rows + rows[-1:], "transaction_date DATE, part_id INT, dealer_id INT, qty_sold INT, revenue DOUBLE")
+    got = abc_xyz(df, months=130).first()
+    assert got["avg_monthly_demand"] == pytest.approx(500 / 124)
+
+
 def test_action_matrix(spark):
     rows = action_matrix(spark).collect()
     assert {r["combined_class"] for r in rows} == {a + x for a in "ABC" for x in "XYZ"} and len(rows) == 9

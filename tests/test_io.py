@@ -76,6 +76,17 @@ def test_clean_file(spark, tmp_path):
         clean_file(spark, "a", "b", "other")
 
 
+def test_clean_file_keeps_the_first_copy(spark, tmp_path):
+    first, second = line("2024-01-01", 1), line("2024-01-01", 1)
+    first[5], second[5] = 20, 10
+    for name, rows in (("a", [first, second]), ("b", [second])):
+        write_csv(tmp_path / "in" / f"{name}.csv", rows)
+    clean_file(spark, str(tmp_path / "in"), str(tmp_path / "out"), "sales", as_of="2024-06-01")
+    kept = spark.read.csv(str(tmp_path / "out"), header=True).collect()
+    assert [float(r["discount_pct"]) for r in kept] == [20.0]
+    assert "_position" not in kept[0].asDict()
+
+
 def test_stream_is_incremental_and_exact_across_batches(spark, tmp_path):
     src, out, state = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "state")
     go = lambda: clean_stream(spark, str(src), out, state, columns=HEADER, as_of="2024-06-01").awaitTermination()
@@ -104,9 +115,16 @@ def test_table_round_trip_is_partitioned_by_month(spark, tmp_path):
     back = files.read_table(spark, "fact_sales", str(tmp_path))
     assert back.where("month = DATE'2024-02-01'").select("part_id", "qty_sold").collect() == [(2, 8)]
     assert path.endswith("fact_sales")
+    late = files.read_table(spark, "fact_sales", str(tmp_path), start="2024-02-01", end="2024-02-29")
+    assert late.select("part_id").collect() == [(2,)]
+    plan = late._jdf.queryExecution().explainString(late._sc._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    filters = next(row for row in plan.splitlines() if "PartitionFilters" in row)
+    assert "month" in filters and "2024-02-01" in filters
     parts = spark.createDataFrame([(1, "P")], "part_id INT, part_number STRING")
     files.write_table(parts, "dim_parts", str(tmp_path))
     assert files.read_table(spark, "dim_parts", str(tmp_path)).first()["part_number"] == "P"
+    with pytest.raises(ValueError, match="no date"):
+        files.read_table(spark, "dim_parts", str(tmp_path), start="2024-01-01")
 
 
 def test_materialize_writes_into_the_checkpoint_folder(spark):
