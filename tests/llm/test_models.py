@@ -191,6 +191,19 @@ def test_text_is_decoded(spark):
     assert (out.text, out.n_chars) == ("a < b & c d", 11)
 
 
+@pytest.mark.parametrize("shard_pages", [1_000, 5])
+def test_marked_articles_lose_what_recurs_on_their_host(spark, shard_pages):
+    notice = "Our house rules apply to all readers of this paper"
+    own = [" ".join(f"w{i}x{j}" for j in range(20)) for i in range(30)]
+    rows = [(i, f"http://h.org/{i}", f"<article><div class=x>{notice}</div><p>{own[i]}</p></article>") for i in range(30)]
+    copied = " ".join(f"c{j}" for j in range(30))
+    rows += [(100 + i, f"http://h.org/c{i}", f"<p>Menu{i}</p><article>{copied}</article>") for i in range(4)]
+    rows += [(200 + i, f"http://h.org/n{i}", f"<article>{copied} Edition{i}</article>") for i in range(4)]
+    got = {r.page_id: r.text for r in pages.main_texts(spark.createDataFrame(rows, "page_id bigint, url string, html string"), shard_pages).collect()}
+    assert all(got[i] == own[i] for i in range(30))
+    assert all(got[100 + i] == copied and got[200 + i] == f"{copied} Edition{i}" for i in range(4))
+
+
 # ------------------------------------------------------------------- pipeline
 def test_stages_keep_the_columns_and_handle_odd_rows(spark, docs, no_docs):
     for rows in (docs, no_docs):
