@@ -204,6 +204,19 @@ def test_marked_articles_lose_what_recurs_on_their_host(spark, shard_pages):
     assert all(got[100 + i] == copied and got[200 + i] == f"{copied} Edition{i}" for i in range(4))
 
 
+def test_runs_are_counted_over_the_whole_host(spark):
+    foot = "All rights reserved by the owners of this site"
+    own = [" ".join(f"w{i}x{j}" for j in range(9)) for i in range(400)]
+    few = (7, 150, 333)  # 3 of 400 pages: under 2 % of a shard, and in different shards
+    rows = [(i, f"http://h.org/{i}", f"<p>{own[i]}</p>" + (f"<p>{foot}</p>" if i in few else "")) for i in range(400)]
+    rows += [(500 + i, f"http://h.org/{i}", f"<p>Two{i} pages only do not make a run</p>") for i in range(2)]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    for shard_pages in (1_000, 40):
+        got = {r.page_id: r.text for r in pages.main_texts(df, shard_pages).collect()}
+        assert all(got[i] == own[i] for i in range(400))
+        assert got[501] == "Two1 pages only do not make a run"
+
+
 # ------------------------------------------------------------------- pipeline
 def test_stages_keep_the_columns_and_handle_odd_rows(spark, docs, no_docs):
     for rows in (docs, no_docs):
