@@ -217,6 +217,19 @@ def test_runs_are_counted_over_the_whole_host(spark):
         assert got[501] == "Two1 pages only do not make a run"
 
 
+@pytest.mark.parametrize("shard_pages", [1_000, 3])
+def test_repeated_rows_are_one_page(spark, shard_pages):
+    first, second = "One page that stands here three times over", "A page without an id that stands here too"
+    versions = "One id with three versions of the same long text"
+    rows = [(1, "http://h.org/1", f"<p>{first}</p>")] * 5 + [(None, "http://h.org/2", f"<p>{second}</p>")] * 5
+    rows += [(2, "http://h.org/3", f"<p>{versions} {i}</p>") for i in range(5)] + [(2**60 + 1, "http://h.org/4", "<p>big</p>")]
+    out = pages.main_texts(spark.createDataFrame(rows, "page_id bigint, url string, html string"), shard_pages).collect()
+    assert sorted(r.text for r in out if r.page_id == 1) == [first] * 5
+    assert sorted(r.text for r in out if r.page_id is None) == [second] * 5
+    assert sorted(r.text for r in out if r.page_id == 2) == [f"{versions} {i}" for i in range(5)]
+    assert [r.text for r in out if r.page_id == 2**60 + 1] == ["big"]
+
+
 # ------------------------------------------------------------------- pipeline
 def test_stages_keep_the_columns_and_handle_odd_rows(spark, docs, no_docs):
     for rows in (docs, no_docs):
