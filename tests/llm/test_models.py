@@ -160,6 +160,23 @@ def test_marked_articles():
     assert pages.blocks_of("<nav><li>x<article>kept</article>")[0] == ["kept"]
 
 
+@pytest.mark.parametrize("page", [
+    '<main class="has-sidebar"><p>Text</p></main>', '<article class="post comments-open"><p>Text</p></article>', '<main class="sidebar"><p>Text</p></main>',
+    '<div class="layout no-sidebar"><article>Text</article></div>', '<div id="content-with-menu"><div role=main>Text</div></div>',
+    '<div class="widget"><section class="menu"><article>Text<div class="comments"><article>Reply</article></div></article></section></div>',
+])
+def test_class_words_never_drop_the_main_text(page):
+    assert pages.blocks_of(page)[0] == ["Text"] and pages.blocks_of(page)[3]
+
+
+def test_class_tokens_that_name_a_block_drop_it():
+    page = "<main>Text{}</main>"
+    for names in ("sidebar", "x comments", "comment-list", "sidebarWidget", "site-footer", "cookie-notice", "ad-slot-3"):
+        assert pages.blocks_of(page.format(f'<div class="{names}">Lost</div>'))[0] == ["Text"]
+    for names in ("no-sidebar", "with-menu", "comments-open", "has-ads"):
+        assert pages.blocks_of(page.format(f'<div class="{names}">Kept</div>'))[0] == ["Text", "Kept"]
+
+
 def test_suffix_array():
     rng = np.random.default_rng(3)
     for n in (0, 1, 2, 30, 200):
