@@ -297,7 +297,7 @@ def pipeline_abc_xyz(s):
 def pipeline_outputs(s):
     out = run_pipeline(
         s.spark, {"sales": _dirty_sales(s), "inventory": s.inventory, "parts": s.parts, "purchase_orders": s.purchase_orders},
-        "score", as_of=s.as_of, output=_scratch(s, "run"), trees=20, iterations=5)
+        "score", as_of=s.as_of, output=_scratch(s, "run"))
     return s.spark.read.parquet(f"{out['run_dir']}/{files.OUTPUT_FILES['stockout_scores']}")
 
 # ---------------------------------------------------------------- replenishment
@@ -330,6 +330,12 @@ def demand_forecast(s): return forecast.forecast(_branded(s), SERIES_KEYS)
 def forecast_accuracy(s): return forecast.accuracy_summary(forecast.forecast(_branded(s), SERIES_KEYS))
 @query
 def forecast_vs_actual(s): return forecast.holdout_comparison(_branded(s), SERIES_KEYS)
+@query
+def demand_forecast_part_dealer(s): return forecast.forecast(s.sales)
+@query
+def forecast_accuracy_part_dealer(s): return forecast.accuracy_summary(forecast.forecast(s.sales))
+@query
+def forecast_vs_actual_part_dealer(s): return forecast.holdout_comparison(s.sales)
 
 # ---------------------------------------------------------------- stock-out model
 @query
@@ -356,19 +362,19 @@ def ordered_folds(s): return stockout.assign_folds(s.inventory.select("snapshot_
 @query
 def stockout_scores(s):
     fixed = materialize(_features(s), "features")
-    return stockout.score_inventory(stockout.train_stockout(fixed, trees=60, iterations=15), fixed)
+    return stockout.score_inventory(stockout.train_stockout(fixed), fixed)
 @query
 def stockout_model_metrics(s):
     fixed = materialize(_features(s), "features")
-    return stockout.evaluate(stockout.predict(stockout.train_stockout(fixed, trees=60, iterations=15), fixed))
+    return stockout.evaluate(stockout.predict(stockout.train_stockout(fixed), fixed))
 @query
 def stockout_feature_importance(s):
     fixed = materialize(_features(s), "features")
-    return stockout.feature_importance(stockout.StockoutModel(stockout.train_forest(fixed, trees=60)), fixed)
+    return stockout.feature_importance(stockout.StockoutModel(stockout.train_forest(fixed)), fixed)
 @query
 def stockout_cross_validation(s):
     fixed = materialize(_features(s), "features")
-    return stockout.ordered_cv(fixed, ["part_id", "dealer_id"], trees=20)
+    return stockout.ordered_cv(fixed, ["part_id", "dealer_id"])
 
 # ---------------------------------------------------------------- BI measures
 DEALER = ("dealer_id",)
