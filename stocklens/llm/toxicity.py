@@ -1,7 +1,8 @@
 """Toxicity: a weighted lexicon found by an Aho-Corasick automaton in folded text.
 
 Texts are folded first: lower case, homoglyphs to Latin letters, and digits or signs between letters
-to the letters they stand for. The lexicon (whole words and word beginnings) is chosen from labelled
+to the letters they stand for. A word that still has digits or signs, at its edges, is folded in full if the whole of it is
+then a word that the lexicon finds, and stays as it is otherwise. The lexicon (whole words and word beginnings) is chosen from labelled
 documents: greedily, the entry that explains most toxic documents not yet explained and
 stands in almost no clean ones. Phrases around an entry that mostly stand in clean documents are
 exceptions. A document's score is a logistic function of the weight found and of that weight
@@ -40,6 +41,7 @@ _HOMOGLYPHS = str.maketrans(HOMOGLYPHS)
 _DIGITS = str.maketrans(DIGITS)
 _FULL_WIDTH = {c: c - 0xFEE0 for c in range(0xFF01, 0xFF5F)}
 _SWAPPED = re.compile(r"[^\W\d_]+[0134578@$]+[^\W\d_](?:[^\W_]|[@$])*")
+_MIXED = re.compile(r"(?<![^\W_])[$@]*(?:[^\W_]|[@$])+")
 _ODD = re.compile("[Ͱ-ԯ！-～]")
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -60,6 +62,21 @@ def entries_of(folded: str) -> set[str]:
     return out
 
 
+def fold_edges(folded: str, automaton: object) -> str:
+    """A folded text with its words of letters, digits and signs folded in full where that makes a lexicon hit of the whole word."""
+    if not len(automaton):
+        return folded
+
+    def full(m: re.Match) -> str:
+        word = m[0]
+        if word.isalpha() or not any(c.isalpha() for c in word):
+            return word
+        made = word.translate(_DIGITS)
+        return made if made.isalpha() and any(start == 0 and end == len(made) for start, end, _ in hits(made, automaton)) else word
+
+    return _MIXED.sub(full, folded)
+
+
 @dataclass
 class Lexicon:
     weights: dict[str, float]
@@ -157,7 +174,7 @@ def fit_lexicon(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS
         found = rules.automaton()
         out: dict[str, list] = {"phrase": [], "toxic": []}
         for text, toxic in zip(rows["text"], rows["toxic"], strict=True):
-            folded = fold(text)
+            folded = fold_edges(fold(text), found)
             near = {p for start, end, _ in hits(folded, found) for p in neighbours(folded, start, end)}
             out["phrase"] += near
             out["toxic"] += [toxic] * len(near)
@@ -169,7 +186,7 @@ def fit_lexicon(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS
 
     def measure(rows: dict[str, list]) -> dict[str, list]:
         found = rules.automaton()
-        return {"toxic": rows["toxic"], "x": [signals(total_weight(fold(t), found, rules.exceptions), t) for t in rows["text"]]}
+        return {"toxic": rows["toxic"], "x": [signals(total_weight(fold_edges(fold(t), found), found, rules.exceptions), t) for t in rows["text"]]}
 
     got = map_batches(sample, measure, "toxic boolean, x array<double>").limit(2 * train_rows).collect()
     rules.model = fit_logistic(np.array([r["x"] for r in got], float).reshape(-1, 3), np.array([r["toxic"] for r in got], float))
@@ -190,7 +207,7 @@ def score_toxicity(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
         rules = sent.value
         if not built:
             built.append(rules.automaton())
-        x = np.array([signals(total_weight(fold(t), built[0], rules.exceptions), t) for t in rows["text"]], float).reshape(-1, 3)
+        x = np.array([signals(total_weight(fold_edges(fold(t), built[0]), built[0], rules.exceptions), t) for t in rows["text"]], float).reshape(-1, 3)
         return {"doc_id": rows["doc_id"], "held_out": rows["held_out"], "score": sigmoid(x @ rules.model[:-1] + rules.model[-1])}
 
     id_type = dict(docs.dtypes)["doc_id"]

@@ -144,6 +144,19 @@ def test_top_k_of_few(spark):
     assert mtree.top_k(df.limit(0)).count() == 0
 
 
+def test_substituted_edges_fold_to_lexicon_words_only():
+    found = toxicity.Lexicon({"idiot$": 3.0, "scum$": 3.0, "trash$": 3.0, "stupi": 3.0}, frozenset(), np.zeros(4)).automaton()
+
+    def folded(text):
+        return toxicity.fold_edges(toxicity.fold(text), found)
+
+    for text, word in (("1diot", "idiot"), ("1d1ot", "idiot"), ("5tupid", "stupid"), ("5cum", "scum"), ("$cum", "scum"), ("7rash", "trash"), ("idi07", "idiot"), ("1d10t", "idiot")):
+        assert folded(f"You {text}, go") == f"you {word}, go"
+        assert toxicity.total_weight(folded(f"({text})"), found, frozenset()) == 3.0
+    clean = "5kg 10m 4th a1 3d $5 7up 1diots in 2024 at me@site.org 80s"
+    assert folded(clean) == toxicity.fold(clean)
+
+
 # ---------------------------------------------------------------------- pages
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var a="</p><article>no</article>";</script></head><body>
 <header class=top><h2>Site</h2></header><nav><ul><li>Home</li></ul></nav><div class="cookie-notice">Accept</div><!-- <article>x</article> -->
