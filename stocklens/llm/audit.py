@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stocklens.llm.bytewords import LETTERS, Words, chunks, pieces, words_in
+from stocklens.llm.bytewords import LETTERS, Words, chunks, packed, pieces, words_in
 from stocklens.llm.common import discard, small, store
 
 #: A language keeps the terms that stand in at least so many of its documents.
@@ -32,19 +32,9 @@ MATRIX_CELLS = 1_000_000
 #: Rows of sums by group that are broadcast after counting them; more are joined by shuffle.
 BROADCAST_GROUPS = 100_000
 COUNTS = "lang string, source string, term string, n bigint, docs bigint"
-_KEEP = [0, *(np.uint64((1 << 64) - (1 << (64 - 8 * n))) for n in range(1, 9))]
 
 
 # ------------------------------------------------------------ packed counting in a task
-def packed(words: Words, at: np.ndarray, offset: int) -> np.ndarray:
-    """Bytes offset..offset+7 of the given words as big-endian 64-bit numbers, zeros after a word's end."""
-    padded = np.concatenate([words.data, np.zeros(16, np.uint8)])
-    every = np.ndarray((len(padded) - 7,), ">u8", buffer=padded, strides=(1,))
-    start = words.start[at] + offset
-    left = np.clip(words.end[at] - start, 0, 8)
-    return every[np.minimum(start, len(every) - 1)].astype(np.uint64) & np.array(_KEEP, np.uint64)[left]
-
-
 def radix_order(keys: list[np.ndarray]) -> np.ndarray:
     """Stable order of rows by the keys (most significant first), in passes over 16-bit digits from the lowest."""
     order = np.arange(len(keys[0]))
@@ -78,7 +68,7 @@ def counted(words: Words, group: np.ndarray) -> Iterator[tuple[pa.Array, np.ndar
     group = group.astype(np.uint32)
     for least, most in ((1, 8), (9, 16)):
         at = np.flatnonzero((length >= least) & (length <= most))
-        parts = [packed(words, at, offset) for offset in range(0, most, 8)]
+        parts = [packed(words.data, words.start[at] + offset, words.end[at]) for offset in range(0, most, 8)]
         keys = [*parts, group[at]]
         rows, n, docs = run_counts(radix_order(keys), keys, words.text[at])
         raw = np.column_stack([p[rows] for p in parts]).astype(">u8")

@@ -23,7 +23,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stocklens.llm.bytewords import chunks, pieces, words_in
+from stocklens.llm.bytewords import Words, chunks, pieces, span_hashes, words_in
 from stocklens.llm.common import discard, mix, small, store
 
 #: Occurrences that make a phrase a candidate.
@@ -45,32 +45,34 @@ _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
 # ------------------------------------------------------------ hashes and bitmaps
-def _word_hashes(lang: str, words: list[str]) -> np.ndarray:
-    seed = xxhash.xxh3_64_intdigest(lang.encode())
-    return np.fromiter((xxhash.xxh3_64_intdigest(w.encode(), seed) for w in words), np.uint64, len(words))
-
-
 def _longer(hashes: np.ndarray, word: np.ndarray) -> np.ndarray:
     """Hashes of phrases prolonged by a word."""
     return mix(hashes * _STEP + word)
 
 
-def phrase_hash(lang: str, phrase: str) -> int:
-    words = _word_hashes(lang, phrase.split(" "))
-    out = words[:1]
-    for i in range(1, len(words)):
-        out = _longer(out, words[i : i + 1])
-    return int(out[0])
+def _in_lang(hashes: np.ndarray, lang: np.ndarray) -> np.ndarray:
+    return mix(hashes ^ lang)
+
+
+def _lang_hashes(langs: list[str]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, langs), np.uint64, len(langs))
+
 
+def phrase_hashes(langs: list[str], phrases: list[bytes], width: int) -> np.ndarray:
+    """Hashes of phrases of `width` words, each in its language."""
+    words = span_hashes(words_in(phrases, _WORD)).reshape(-1, width)
+    with np.errstate(over="ignore"):
+        return _in_lang(functools.reduce(_longer, words.T), _lang_hashes(langs))
 
-def bitmap(phrases: DataFrame) -> np.ndarray:
+
+def bitmap(phrases: DataFrame, width: int) -> np.ndarray:
     """Bits of the hashes of (lang, phrase) as 64-bit words: a power of two, 16 for a phrase up to MAX_BITS."""
     bits = min(MAX_BITS, max(1 << 16, 1 << (16 * phrases.count()).bit_length()))
 
     def slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hashes = [phrase_hash(*row) & (bits - 1) for row in zip(*(c.to_pylist() for c in batch.columns), strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(hashes, pa.int64())], ["slot"])
+            hashes = phrase_hashes(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), width)
+            yield pa.RecordBatch.from_arrays([pa.array((hashes & np.uint64(bits - 1)).astype(np.int64))], ["slot"])
 
     made = phrases.select("lang", "phrase").mapInArrow(slots, "slot bigint")
     one = F.expr("shiftleft(1L, CAST(slot % 64 AS INT))")
@@ -90,57 +92,77 @@ def chunk_phrases(texts: list[bytes | None], group: np.ndarray, langs: list[str]
     """(group, phrase, occurrences) of the phrases of `width` words in a chunk; `group` is the group of each text,
     langs the language of each group. filters[k] is a bitmap that phrases of k + 1 words must pass, or None."""
     words = words_in(texts, _WORD)
-    lengths = (words.end - words.start).astype(np.int64)
-    offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
-    letters = np.ascontiguousarray(words.data[_WORD[words.data]])
-    terms = pa.LargeStringArray.from_buffers(len(lengths), pa.py_buffer(offsets), pa.py_buffer(letters)).dictionary_encode()
-    word, vocabulary = np.asarray(terms.indices).astype(np.uint64), terms.dictionary
-    n_words = max(len(vocabulary), 1)
+    n_words = len(words.start)
     # A phrase lies in one piece: no break stands between its words.
-    line = np.cumsum(_BREAKS[words.data])[words.start]
+    line = np.cumsum(_BREAKS[words.data], dtype=np.int32)[words.start]
     of = group[words.text]
-    key, first = np.unique(of.astype(np.uint64) * np.uint64(n_words) + word, return_inverse=True)
-    parts = [(key % np.uint64(n_words)).astype(np.int64)]  # the words of each distinct phrase
-    of_phrase = (key // np.uint64(n_words)).astype(np.int64)
-    place = np.arange(len(word))  # where the phrases begin
-    of_key = first.astype(np.int64)  # which distinct phrase stands there
-    hashes = None
-    for k in range(width):
-        if k:
-            follows = place + k < len(word)
-            follows[follows] = line[place[follows]] == line[place[follows] + k]
-            # Its last k words must have passed as well.
-            follows[follows] = passed[place[follows] + 1]
-            place, of_key = place[follows], of_key[follows]
-            key, of_key = np.unique(of_key.astype(np.uint64) * np.uint64(n_words) + word[place + k], return_inverse=True)
-            shorter = (key // np.uint64(n_words)).astype(np.int64)
-            parts = [p[shorter] for p in parts] + [(key % np.uint64(n_words)).astype(np.int64)]
-            of_phrase, hashes = of_phrase[shorter], None if hashes is None else hashes[shorter]
-        if any(f is not None for f in filters):
-            last = _by_lang(langs, of_phrase, parts[-1], vocabulary)
-            hashes = last if hashes is None else _longer(hashes, last)
-        ok = np.ones(len(key), bool) if filters[k] is None else _known(filters[k], hashes)
-        here = ok[of_key] if len(place) else np.zeros(0, bool)
-        passed = np.zeros(len(word) + 1, bool)
-        passed[place[here]] = True
-        place, of_key = place[here], of_key[here]
-    n = np.bincount(of_key, minlength=len(key))
-    seen = np.flatnonzero(n)
-    text = [vocabulary.take(pa.array(p[seen])) for p in parts]
+    hashed = any(f is not None for f in filters)
+    of_word, of_lang = span_hashes(words) if hashed else None, _lang_hashes(langs)
+    place = np.arange(n_words, dtype=np.int32)  # where the phrases begin
+    hashes, passed = of_word, None
+    with np.errstate(over="ignore"):
+        for k in range(width):
+            if k:
+                fits = place[place + k < n_words]
+                follows = (line[fits] == line[fits + k]) & passed[fits + 1]  # its last k words must have passed as well
+                place = fits[follows]
+                hashes = _longer(hashes[: len(fits)][follows], of_word[place + k]) if hashed else None
+            if filters[k] is not None:
+                ok = _known(filters[k], _in_lang(hashes, of_lang[of[place]]))
+                place, hashes = place[ok], hashes[ok]
+            if k + 1 < width:
+                passed = np.zeros(n_words + 1, bool)
+                passed[place] = True
+    if not len(place):
+        return np.empty(0, np.int64), pa.array([], pa.large_string()), np.empty(0, np.int64)
+    word, vocabulary = _numbered(words, place, width)
+    found, n = _runs([of[place], *[word[place + k] for k in range(width)]], [len(langs), *[max(len(vocabulary), 1)] * width])
+    text = [vocabulary.take(pa.array(f)) for f in found[1:]]
     phrase = text[0] if width == 1 else pc.binary_join_element_wise(*text, pa.scalar(" ", pa.large_string()))
-    return of_phrase[seen], phrase, n[seen]
+    return found[0], phrase, n
 
 
-def _by_lang(langs: list[str], of_phrase: np.ndarray, word: np.ndarray, vocabulary: pa.Array) -> np.ndarray:
-    """The hash of a word in the language of its phrase's group; each distinct (language, word) is hashed once."""
-    names = {lang: i for i, lang in enumerate(dict.fromkeys(langs))}
-    lang_of = np.array([names[lang] for lang in langs], np.int64)[of_phrase]
-    pairs, at = np.unique(lang_of * max(len(vocabulary), 1) + word, return_inverse=True)
-    out = np.empty(len(pairs), np.uint64)
-    for lang, i in names.items():
-        mine = np.flatnonzero(pairs // max(len(vocabulary), 1) == i)
-        out[mine] = _word_hashes(lang, vocabulary.take(pa.array(pairs[mine] % max(len(vocabulary), 1))).to_pylist())
-    return out[at]
+def _numbered(words: Words, place: np.ndarray, width: int) -> tuple[np.ndarray, pa.Array]:
+    """(number of each word that stands in a phrase beginning at `place`, the numbered words)."""
+    used = np.zeros(len(words.start), bool)
+    for k in range(width):
+        used[place + k] = True
+    length = words.end - words.start
+    letters = np.ascontiguousarray(words.data[_WORD[words.data]])
+    letters = letters if used.all() else letters[np.repeat(used, length)]
+    offsets = np.concatenate([[0], np.cumsum(length[used])]).astype(np.int64)
+    terms = pa.LargeStringArray.from_buffers(len(offsets) - 1, pa.py_buffer(offsets), pa.py_buffer(letters)).dictionary_encode()
+    numbers = np.zeros(len(words.start), np.int32)
+    numbers[used] = np.asarray(terms.indices)
+    return numbers, terms.dictionary
+
+
+def _runs(columns: list[np.ndarray], sizes: list[int]) -> tuple[list[np.ndarray], np.ndarray]:
+    """(the distinct rows of columns of numbers below their sizes, how often each stands there)."""
+    if np.prod([float(size) for size in sizes]) < 2.0**63:
+        key = columns[0].astype(np.uint64)
+        for column, size in zip(columns[1:], sizes[1:], strict=True):
+            key = key * np.uint64(size) + column.astype(np.uint64)
+        key = np.sort(key)
+        edge = _edges(key[1:] != key[:-1])
+        return _unpacked(key[edge], sizes), np.diff(np.append(edge, len(key)))
+    order = np.lexsort(columns[::-1])  # too wide for one number
+    rows = [c[order] for c in columns]
+    edge = _edges(np.any([r[1:] != r[:-1] for r in rows], axis=0))
+    return [r[edge] for r in rows], np.diff(np.append(edge, len(order)))
+
+
+def _edges(changes: np.ndarray) -> np.ndarray:
+    """Where runs begin, from the places at which a value differs from the one before (none of no rows)."""
+    return np.flatnonzero(np.concatenate([[True], changes]))
+
+
+def _unpacked(key: np.ndarray, sizes: list[int]) -> list[np.ndarray]:
+    out = []
+    for size in reversed(sizes[1:]):
+        out.append((key % np.uint64(size)).astype(np.int64))
+        key = key // np.uint64(size)
+    return [key.astype(np.int64), *reversed(out)]
 
 
 def _counts(width: int, filters: list[Broadcast | None], by_shard: bool, totals: bool = False):
@@ -188,17 +210,17 @@ def frequent_phrases(docs: DataFrame, support: int = SUPPORT, shards: int = SHAR
     local = store(sizes.join(totals, "lang").select("lang", "shard", F.expr(f"greatest(1L, {raised})").alias("least")), "local_support")
     found = [store(words.where("phrase <> ''").select("lang", "phrase", "n"), "phrases1")]
     discard(words)
-    filters: list[Broadcast | None] = [spark.sparkContext.broadcast(bitmap(found[0]))]
+    filters: list[Broadcast | None] = [spark.sparkContext.broadcast(bitmap(found[0], 1))]
     for width in range(2, longest + 1):
         mined = _counted(texts, "lang", "shard", "phrase", width=width, filters=[*filters, None], by_shard=True)
         mined = mined.join(small(local, BROADCAST_ROWS), ["lang", "shard"]).where("n >= least")
         candidates = store(mined.select("lang", "phrase").distinct(), f"candidates{width}")
-        own = spark.sparkContext.broadcast(bitmap(candidates))
+        own = spark.sparkContext.broadcast(bitmap(candidates, width))
         exact = _counted(texts, "lang", "phrase", width=width, filters=[*filters, own], by_shard=False)
         found.append(store(exact.where(F.col("n") >= support).join(candidates, ["lang", "phrase"], "left_semi"), f"phrases{width}"))
         discard(candidates)
         if width < longest:
-            filters.append(spark.sparkContext.broadcast(bitmap(found[-1])))
+            filters.append(spark.sparkContext.broadcast(bitmap(found[-1], width)))
     discard(local)
     return totals, found
 
