@@ -25,6 +25,11 @@ from stocklens.llm.common import discard, small, store
 PARAGRAPH_END = "\\n|(?<=[.!?;:|])\\s+"
 #: Cells a row of a fingerprint (2^FOLD).
 FOLD = 2
+#: Cells a row of a sketch for each digest that can differ, before rounding up to a power of two; no effect on
+#: results, only on how many pairs need a second attempt.
+SIZE = 0.75
+#: Text of a task in code points: its sketches have to fit in memory.
+TASK_CHARS = 4_000_000
 #: Peeling steps of one attempt, each over one of the three rows.
 STEPS = 15
 #: Keys that are broadcast after counting them; more are joined by shuffle.
@@ -56,14 +61,14 @@ def with_digests(df: DataFrame, text: str, out: str) -> DataFrame:
 
 # ------------------------------------------------------------ order of documents
 def with_key(docs: DataFrame) -> DataFrame:
-    """(doc_id, text, k1, k2): null texts are empty; a 128-bit hash of id and text stands for the document."""
+    """docs with `text` (null texts are empty) and k1, k2: a 128-bit hash of id and text stands for the document."""
     named = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     return named.select("*", F.xxhash64("doc_id", "text").alias("k1"), F.xxhash64(F.lit(1), "doc_id", "text").alias("k2"))
 
 
 def successors(docs: DataFrame) -> DataFrame:
-    """(k1, k2, n1, n2, n_chars, copies), stored: each distinct document and the next one in descending doc_id
-    (null ids last, then by key); after the last comes the first.
+    """(doc_id, k1, k2, n1, n2, n_chars, copies), stored: each distinct document and the next one in descending
+    doc_id (null ids last, then by key); after the last comes the first.
 
     Documents are range partitioned, so that each task finds the successors within its range; only the first
     document of each range (one a partition) meets the last one of the range before it.
@@ -72,32 +77,35 @@ def successors(docs: DataFrame) -> DataFrame:
     order = [F.desc_nulls_last("doc_id"), F.asc("k1"), F.asc("k2")]
     ranged = store(nodes.repartitionByRange(*order).withColumn("chunk", F.spark_partition_id()), "ranged")
     within = Window.partitionBy("chunk").orderBy(*order)
-    follows = ranged.select(*_KEY, "n_chars", "copies", "chunk", F.lead(F.struct(*_KEY)).over(within).alias("next"))
+    follows = ranged.select("doc_id", *_KEY, "n_chars", "copies", "chunk", F.lead(F.struct(*_KEY)).over(within).alias("next"))
     heads = ranged.withColumn("at", F.row_number().over(within)).where("at = 1")
     chunks = Window.orderBy("chunk")
     every = chunks.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     head = F.struct(*_KEY)
     following = heads.select("chunk", F.coalesce(F.lead(head).over(chunks), F.first(head).over(every)).alias("head"))
     joined = follows.join(F.broadcast(following), "chunk").withColumn("next", F.coalesce("next", "head"))
-    made = store(joined.select(*_KEY, F.col("next.k1").alias("n1"), F.col("next.k2").alias("n2"), "n_chars", "copies"), "successors")
+    made = store(joined.select("doc_id", *_KEY, F.col("next.k1").alias("n1"), F.col("next.k2").alias("n2"), "n_chars", "copies"), "successors")
     discard(ranged)
     return made
 
 
 def versions(docs: DataFrame, order: DataFrame) -> DataFrame:
-    """One row per document of `order`: text, edited text, digests of the next document's text.
+    """(k1, k2, text, edited, d_next) of each document in `order`: its text, its edited text, the digests of the next.
 
-    Texts are shuffled once by key. Of the next document its first code points and its digests travel."""
-    texts = with_key(docs)
+    Texts are shuffled once, by key, to tasks of about TASK_CHARS; of the next document its first code points and
+    its digests travel. What reads this needs all of its columns, so that the shuffles are made only once."""
+    size = order.agg(F.sum("n_chars")).first()[0] or 0
+    tasks = size // TASK_CHARS + 1
     by_key = Window.partitionBy(*_KEY).orderBy(*_KEY)
     # Repeated rows have the same key: one of them is enough, `copies` counts them.
+    texts = with_key(docs).select(*_KEY, "text").repartition(tasks, *_KEY)
     texts = texts.withColumn("seen", F.lag(F.lit(1)).over(by_key)).where("seen is null").drop("seen")
-    tail = F.expr("substring(text, 1, n_chars div 2)")
-    named = order.select(F.col("k1").alias("o1"), F.col("k2").alias("o2"), F.col("n1").alias("k1"), F.col("n2").alias("k2"), "n_chars", "copies")
-    beside = with_digests(named.join(texts, _KEY), "text", "d_next")
-    beside = beside.select(F.col("o1").alias("k1"), F.col("o2").alias("k2"), "n_chars", "copies", tail.alias("tail"), "d_next", F.col("doc_id").alias("next_id"))
-    both = texts.join(beside, _KEY)
-    return both.withColumn("edited", F.concat(F.expr("substring(text, 1, n_chars - n_chars div 2)"), "tail"))
+    named = order.select(F.col("k1").alias("o1"), F.col("k2").alias("o2"), F.col("n1").alias("k1"), F.col("n2").alias("k2"), "n_chars")
+    after = with_digests(named.join(texts, _KEY), "text", "d_next")
+    tail = F.expr("substring(text, 1, n_chars div 2)").alias("tail")
+    after = after.select(F.col("o1").alias("k1"), F.col("o2").alias("k2"), "n_chars", tail, "d_next").repartition(tasks, *_KEY)
+    edited = F.concat(F.expr("substring(text, 1, n_chars - n_chars div 2)"), "tail").alias("edited")
+    return texts.join(after, _KEY).select(*_KEY, "text", edited, "d_next")
 
 
 # ------------------------------------------------------------ sketches
@@ -118,9 +126,9 @@ def _check(digest: Column) -> Column:
 def sketches(versions: DataFrame, names: list[str], attempt: int) -> DataFrame:
     """(k1, k2, row, bits, cell and for each version x its count n_x, XOR of digests x_x and of checks c_x).
 
-    A row has 2^bits cells, at least 0.75 * 2^attempt for each digest of the largest two versions together."""
+    A row has 2^bits cells, at least SIZE * 2^attempt for each digest of the largest two versions together."""
     sizes = [F.size(n) for n in names]
-    least = F.greatest(F.lit(1), (sizes[0] + (F.greatest(*sizes[1:]) if len(sizes) > 2 else sizes[1])) * 0.75)
+    least = F.greatest(F.lit(1), (sizes[0] + (F.greatest(*sizes[1:]) if len(sizes) > 2 else sizes[1])) * SIZE)
     bits = F.greatest(F.lit(FOLD), F.ceil(F.log2(least)).cast("int")) + attempt
     entries = F.array(*[F.struct(F.lit(i).alias("v"), F.col(n).alias("d")) for i, n in enumerate(names)])
     rows = versions.select(*_KEY, bits.alias("bits"), F.inline(entries)).select(*_KEY, "bits", "v", F.explode("d").alias("x"))
@@ -201,7 +209,7 @@ def _attempt(docs: DataFrame, order: DataFrame, attempt: int) -> DataFrame:
     state = subtracted(cells, [("d_text", "d_edited"), ("d_text", "d_next")], ["d_text", "d_edited"])
     found = _outcome(peeled(state, attempt), 2, 2)
     sizes = [F.size(f"d_{v}").alias(f"s_{v}") for v in ("text", "edited", "next")]
-    own = texts.select("doc_id", *_KEY, "n_chars", "copies", "next_id", F.sha2("edited", 256).alias("edited_sha256"), *sizes)
+    own = texts.select(*_KEY, F.sha2("edited", 256).alias("edited_sha256"), *sizes).join(order.select("doc_id", *_KEY, "n_chars", "copies"), _KEY)
     joined = own.join(found, _KEY, "left").fillna({"found_0": 0, "left_0": 0, "found_1": 0, "left_1": 0, "print_0": "", "print_1": ""})
 
     def likeness(i: int, other: str) -> Column:
@@ -211,12 +219,12 @@ def _attempt(docs: DataFrame, order: DataFrame, attempt: int) -> DataFrame:
     return joined.select(
         "doc_id", F.col("n_chars").cast("bigint").alias("n_chars"), "edited_sha256", F.col("print_0").alias("fingerprint"),
         F.col("print_1").alias("edited_fingerprint"), likeness(0, "edited").alias("near_edited"), likeness(1, "next").alias("near_next"),
-        "next_id", "copies", *_KEY, ((F.col("left_0") > 0) | (F.col("left_1") > 0)).alias("open"),
+        "copies", *_KEY, ((F.col("left_0") > 0) | (F.col("left_1") > 0)).alias("open"),
     )
 
 
 def document_fingerprints(docs: DataFrame) -> DataFrame:
-    """Per document row: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, next_id.
+    """Per document row: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
 
     The edited text has its last half replaced by the beginning of the next document (descending doc_id, null ids
     last; rows that share an id in a fixed order; after the last comes the first; a single document is its own next). The
