@@ -109,14 +109,12 @@ def versions(docs: DataFrame, order: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------ sketches
-def _position(digest: Column, row: Column | int, attempt: int) -> Column:
-    """The cell of a digest in a row, as a long of which the lowest bits count."""
-    return F.xxhash64(digest, (F.lit(row) if isinstance(row, int) else row).cast("int"), F.lit(attempt))
-
-
-def _cell(digest: Column, row: Column | int, bits: Column, attempt: int) -> Column:
+def _cell(digest: Column, row: Column | int, bits: Column) -> Column:
+    """The cell of a digest in a row of 2^bits cells: the lowest bits of a hash, so that larger sketches fold onto
+    smaller ones and digests that share a cell part as sketches grow."""
     one = F.lit(1).cast("bigint")
-    return _position(digest, row, attempt).bitwiseAND(F.call_function("shiftleft", one, bits) - one)
+    place = F.xxhash64(digest, (F.lit(row) if isinstance(row, int) else row).cast("int"))
+    return place.bitwiseAND(F.call_function("shiftleft", one, bits) - one)
 
 
 def _check(digest: Column) -> Column:
@@ -133,7 +131,7 @@ def sketches(versions: DataFrame, names: list[str], attempt: int) -> DataFrame:
     entries = F.array(*[F.struct(F.lit(i).alias("v"), F.col(n).alias("d")) for i, n in enumerate(names)])
     rows = versions.select(*_KEY, bits.alias("bits"), F.inline(entries)).select(*_KEY, "bits", "v", F.explode("d").alias("x"))
     rows = rows.select("*", _check(F.col("x")).alias("c"), F.explode(F.array(*map(F.lit, range(3)))).alias("row"))
-    rows = rows.withColumn("cell", _cell(F.col("x"), F.col("row"), F.col("bits"), attempt))
+    rows = rows.withColumn("cell", _cell(F.col("x"), F.col("row"), F.col("bits")))
     zero = F.lit(0).cast("bigint")
     sums = []
     for i, n in enumerate(names):
@@ -162,7 +160,7 @@ def _summed(state: DataFrame) -> DataFrame:
     return state.groupBy(*_STATE).agg(F.sum("n").alias("n"), F.bit_xor("x").alias("x"), F.bit_xor("c").alias("c")).where(full)
 
 
-def peeled(state: DataFrame, attempt: int, steps: int = STEPS) -> DataFrame:
+def peeled(state: DataFrame, steps: int = STEPS) -> DataFrame:
     """The state after so many steps: entries of the fourth row are digests (in `cell`) that the first (n = 1) or
     the second version (n = -1) of the pair has alone; other entries of a pair are what could not be peeled."""
     x, c, n, part = (F.col(k) for k in ("x", "c", "n", "part"))
@@ -174,7 +172,7 @@ def peeled(state: DataFrame, attempt: int, steps: int = STEPS) -> DataFrame:
         zero = F.lit(0).cast("bigint")
         out = [F.struct((base + _PEELED).alias("part"), x.alias("cell"), n.alias("n"), zero.alias("x"), zero.alias("c"))]
         for other in sorted({0, 1, 2} - {row}):
-            out.append(F.struct((base + other).alias("part"), _cell(x, other, bits, attempt).alias("cell"), (-n).alias("n"), x.alias("x"), c.alias("c")))
+            out.append(F.struct((base + other).alias("part"), _cell(x, other, bits).alias("cell"), (-n).alias("n"), x.alias("x"), c.alias("c")))
         same = F.struct(part.alias("part"), F.col("cell"), n.alias("n"), x.alias("x"), c.alias("c"))
         state = _summed(state.select(*_KEY, F.inline(F.when(alone, F.array(*out)).otherwise(F.array(same)))))
     return state
@@ -207,7 +205,7 @@ def _attempt(docs: DataFrame, order: DataFrame, attempt: int) -> DataFrame:
     texts = with_digests(with_digests(versions(docs, order), "text", "d_text"), "edited", "d_edited")
     cells = sketches(texts, ["d_text", "d_edited", "d_next"], attempt)
     state = subtracted(cells, [("d_text", "d_edited"), ("d_text", "d_next")], ["d_text", "d_edited"])
-    found = _outcome(peeled(state, attempt), 2, 2)
+    found = _outcome(peeled(state), 2, 2)
     sizes = [F.size(f"d_{v}").alias(f"s_{v}") for v in ("text", "edited", "next")]
     own = texts.select(*_KEY, F.sha2("edited", 256).alias("edited_sha256"), *sizes).join(order.select("doc_id", *_KEY, "n_chars", "copies"), _KEY)
     joined = own.join(found, _KEY, "left").fillna({"found_0": 0, "left_0": 0, "found_1": 0, "left_1": 0, "print_0": "", "print_1": ""})
@@ -245,7 +243,7 @@ def document_fingerprints(docs: DataFrame) -> DataFrame:
         count = open_keys.count()
         if not count:
             break
-        # The sketches of these pairs are made anew, with twice the cells and other places.
+        # The sketches of these pairs are made anew, with twice the cells.
         open_keys = F.broadcast(open_keys) if count <= BROADCAST_KEYS else open_keys
         order = store(order.join(open_keys, _KEY, "left_semi"), "open_order")
         spent.append(order)

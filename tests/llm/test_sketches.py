@@ -87,7 +87,7 @@ def test_peeling_recovers_the_digests_of_each_side(spark):
     both = spark.createDataFrame([(1, 1, "a. b. c. c.", "b. d. c."), (1, 2, "x.", "x.")], "k1 bigint, k2 bigint, old string, new string")
     both = fingerprints.with_digests(fingerprints.with_digests(both, "old", "d_old"), "new", "d_new").cache()
     cells = fingerprints.sketches(both, ["d_old", "d_new"], 0)
-    found = fingerprints.differences(fingerprints.peeled(fingerprints.subtracted(cells, [("d_old", "d_new")], []), 0)).collect()
+    found = fingerprints.differences(fingerprints.peeled(fingerprints.subtracted(cells, [("d_old", "d_new")], []))).collect()
     row = both.where("k2 = 1").first()
     old, new = set(row.d_old), set(row.d_new)
     assert {(r.k2, r.digest, r.side) for r in found} == {(1, d, 1) for d in old - new} | {(1, d, -1) for d in new - old}
