@@ -7,7 +7,7 @@ whole-stage code generation.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,20 +24,23 @@ WHOLE = ("tinyint", "smallint", "int", "bigint")
 
 
 def number_from_text(column: str, kind: str) -> Column:
-    """Text as a number of type ``kind``, null where it is none.
+    """Text as a number or date of type ``kind``, null where it is none.
 
-    Integers may be written with a fraction of zero ("5.0", as exporters write nullable
+    Dates may be written in any of DATE_FORMATS. Integers may be written with a fraction of zero ("5.0", as exporters write nullable
     integers); "5.5" is not an integer.
     """
+    if kind == "date":
+        return date_from_text(column)
     if kind not in WHOLE:
         return F.col(column).try_cast(kind)
     exact = F.col(column).try_cast("decimal(38,10)")
     return F.when(exact == F.floor(exact), exact.try_cast(kind))
 
 
-def date_from_text(column: str) -> Column:
-    """Text as a date: ISO first, then each of DATE_FORMATS; null where none fits."""
-    others = [F.try_to_timestamp(F.trim(column), F.lit(f)).cast("date") for f in DATE_FORMATS]
+def date_from_text(column: str, formats: Sequence[str] = DATE_FORMATS) -> Column:
+    """Text as a date: ISO first, then each of ``formats``; null where none fits. 03/04/2024 is read month first
+    unless ``formats`` has d/M/yyyy before (or instead of) M/d/yyyy."""
+    others = [F.try_to_timestamp(F.trim(column), F.lit(f)).cast("date") for f in formats]
     return F.coalesce(F.col(column).try_cast("date"), *others)
 
 
@@ -188,6 +191,7 @@ def rmse(actual: Column, predicted: Column) -> Column:
 
 
 # ---------------------------------------------------------------- ladders
+# The labels and thresholds of the next three functions are those of the published business rules.
 def movement_status(days: Column, s: Settings = DEFAULTS) -> Column:
     """Stock status by days without movement."""
     return (

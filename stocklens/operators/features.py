@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from stocklens.config import DEFAULTS, Settings
 from stocklens.functions.scalar import KEYS, as_date, as_of_or_max, clip, exact_std, safe_divide
+from stocklens.operators.key_day import line_aggregates
 from stocklens.operators.latest import last_non_null
 from stocklens.sources.scratch import materialize
 
@@ -35,17 +36,16 @@ def latest_inventory(inventory: DataFrame, as_of=None) -> DataFrame:
 
 
 def demand_windows(sales: DataFrame, windows: Sequence[int] = (30, 60, 90), as_of=None) -> DataFrame:
-    """Quantity, line count and spread per trailing window, all windows in one aggregate.
+    """Quantity, line count and spread per trailing window, all windows in one aggregate over a fact or a state.
 
     Only rows of the longest window are read; a key without lines in a shorter
     window has nulls there, and a single line has spread 0.
     """
     today = as_of_or_max(as_of, sales, "transaction_date")
-    qty = F.col("qty_sold").cast("bigint")
     aggs, out = [], []
     for d in windows:
-        inside = F.when(F.col("_age") <= d, qty)
-        aggs += [F.count(inside).alias(f"_n{d}"), F.sum(inside).alias(f"_s{d}"), F.sum(inside * inside).alias(f"_q{d}")]
+        inside = line_aggregates(sales, F.col("_age") <= d)
+        aggs += [inside[k].alias(f"_{k}{d}") for k in "nsq"]
         n = F.col(f"_n{d}")
         std = F.coalesce(exact_std(n, F.col(f"_s{d}"), F.col(f"_q{d}")), F.lit(0.0))
         out += [

@@ -25,6 +25,8 @@ from stocklens.functions.scalar import (
     stockout_status,
     year_month,
 )
+from stocklens.operators.asof import asof_join
+from stocklens.operators.key_day import is_state, line_aggregates
 from stocklens.operators.latest import last_event, latest_row
 from stocklens.operators.ordered import prefix_sum
 
@@ -65,13 +67,12 @@ def fill_rate(sales: DataFrame, dealers: DataFrame, as_of=None, days: int = 90)
     """Order lines fulfilled and backordered per dealer over the last ``days``."""
     today = as_of_or_max(as_of, sales, "transaction_date")
     start = F.date_sub(today, days)
+    counts = line_aggregates(sales)
     lines = (
         sales.where(F.col("transaction_date").between(start, today))
         .groupBy("dealer_id")
         .agg(
-            F.count(F.lit(1)).alias("lines"),
-            F.count_if("was_fulfilled").alias("filled"),
-            F.count_if(~F.col("was_fulfilled")).alias("missed"),
+            *[counts[c].alias(c) for c in ("lines", "filled", "missed")],
             F.sum("backorder_qty").alias("backorder"),
         )
         .join(dealers.select("dealer_id", "dealer_name", "region"), "dealer_id")
@@ -234,7 +235,7 @@ def monthly_by_category(sales: DataFrame, parts: DataFrame) -> DataFrame:
         F.sum("qty_sold").alias("qty"),
         F.sum("revenue").alias("revenue"),
         F.sum("cogs").alias("cogs"),
-        F.count("qty_sold").alias("lines"),
+        line_aggregates(sales)["n"].alias("lines"),
     )
     return (
         per_part.join(parts.select("part_id", "category"), "part_id")
@@ -275,27 +276,43 @@ def latest_policy(policy: DataFrame, as_of=None) -> DataFrame:
     return latest_row(policy, "effective_date", as_of=as_of) if "effective_date" in policy.columns else policy
 
 
-def stockout_risk(
-    inventory: DataFrame, policy: DataFrame, parts: DataFrame, dealers: DataFrame, as_of=None, ordered: bool = True
-) -> DataFrame:
-    """Latest available stock against the latest reorder policy."""
-    cols = ["reorder_point", "safety_stock_qty", "avg_daily_demand", "avg_lead_time_days"]
+_POLICY_COLS = ["reorder_point", "safety_stock_qty", "avg_daily_demand", "avg_lead_time_days"]
+
+
+def _with_risk(stock: DataFrame, parts: DataFrame, dealers: DataFrame, *more: str) -> DataFrame:
+    """Stock rows that carry their policy, with names, days of stock and risk level."""
     available = F.col("qty_available")
-    out = (
-        latest_row(inventory, "snapshot_date", ["qty_available", "qty_in_transit"], as_of=as_of)
-        .join(latest_policy(policy, as_of).select(*KEYS, *cols), list(KEYS), "left")
-        .join(parts.select("part_id", "part_number", "part_name", "category", "is_critical"), "part_id")
+    return (
+        stock.join(parts.select("part_id", "part_number", "part_name", "category", "is_critical"), "part_id")
         .join(dealers.select("dealer_id", "dealer_name"), "dealer_id")
         .select(
-            "part_number", "part_name", "category", "is_critical", "dealer_name", "qty_available", "qty_in_transit",
-            "reorder_point", "safety_stock_qty", "avg_daily_demand", "avg_lead_time_days",
+            *more, "part_number", "part_name", "category", "is_critical", "dealer_name", "qty_available", "qty_in_transit",
+            *_POLICY_COLS,
             num_round(safe_divide(available, F.col("avg_daily_demand")), 1).alias("days_of_stock_remaining"),
             stockout_status(available, F.col("safety_stock_qty"), F.col("reorder_point")).alias("risk_level"),
         )
     )
+
+
+def stockout_risk(
+    inventory: DataFrame, policy: DataFrame, parts: DataFrame, dealers: DataFrame, as_of=None, ordered: bool = True
+) -> DataFrame:
+    """Latest available stock against the latest reorder policy."""
+    stock = latest_row(inventory, "snapshot_date", ["qty_available", "qty_in_transit"], as_of=as_of)
+    out = _with_risk(stock.join(latest_policy(policy, as_of).select(*KEYS, *_POLICY_COLS), list(KEYS), "left"), parts, dealers)
     return out.orderBy(risk_rank(F.col("risk_level")), F.desc("is_critical")) if ordered else out
 
 
+def stockout_risk_history(inventory: DataFrame, policy: DataFrame, parts: DataFrame, dealers: DataFrame) -> DataFrame:
+    """Every snapshot against the reorder policy that was valid on its day (none before the first).
+
+    Of two policies of one key and day the one with the greater reorder point counts, then the greater of its
+    other columns."""
+    stock = inventory.select(*KEYS, "snapshot_date", "qty_available", "qty_in_transit")
+    valid = asof_join(stock, policy, "snapshot_date", "effective_date", [*_POLICY_COLS, "effective_date"])
+    return _with_risk(valid, parts, dealers, "snapshot_date", "effective_date")
+
+
 def create_stockout_view(name: str = "vw_stockout_risk", **frames) -> DataFrame:
     """Register the stock-out risk frame as a session view."""
     df = stockout_risk(**frames)
@@ -310,7 +327,8 @@ def service_level(sales: DataFrame, by: tuple[str, ...] = ("dealer_id",)) -> Dat
     stock-out event when any line of that day was not fulfilled.
     """
     keys = list(dict.fromkeys([*by, *KEYS, "transaction_date"]))
-    events = sales.groupBy(*keys).agg(F.max((~F.col("was_fulfilled")).cast("int")).alias("missed"))
+    missed = F.col("missed") > 0 if is_state(sales) else ~F.col("was_fulfilled")
+    events = sales.groupBy(*keys).agg(F.max(missed.cast("int")).alias("missed"))
     return events.groupBy(*by).agg(
         F.count(F.lit(1)).alias("demand_events"),
         F.sum("missed").alias("stockout_events"),

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stocklens.functions.scalar import KEYS, as_date, as_of_or_max, month_diff, month_start, num_round, safe_divide, year_month
+from stocklens.operators.key_day import is_state, line_aggregates
 
 By = Sequence[str]
 
@@ -35,12 +36,15 @@ def _beside(left: DataFrame, right: DataFrame, by: By) -> DataFrame:
 
 # ---------------------------------------------------------------- overviews
 def sales_overview(sales: DataFrame, by: By = ()) -> DataFrame:
-    """The sales measures that share one pass over the fact."""
+    """The sales measures that share one pass over the fact, or over a key x day state."""
+    counts = line_aggregates(sales)
+    fill = safe_divide(counts["filled"], counts["lines"], 1) * 100
+    net = F.sum("net").cast("double") / 100.0 if is_state(sales) else _net()
     return sales.groupBy(*by).agg(
-        num_round(_net(), 2).alias("total_revenue"),
+        num_round(net, 2).alias("total_revenue"),
         F.sum("qty_sold").alias("total_units_sold"),
-        num_round(_fill(), 4).alias("fill_rate_pct"),
-        num_round(F.lit(100.0) - _fill(), 4).alias("backorder_rate_pct"),
+        num_round(fill, 4).alias("fill_rate_pct"),
+        num_round(F.lit(100.0) - fill, 4).alias("backorder_rate_pct"),
     )
 
 
@@ -135,7 +139,8 @@ def demand_mom_growth_pct(sales: DataFrame, as_of=None, by: By = ()) -> DataFram
 
 def a_class_revenue_share_pct(sales: DataFrame, abc_xyz: DataFrame, by: By = ()) -> DataFrame:
     keys = list(dict.fromkeys([*by, *KEYS]))
-    revenue = sales.groupBy(*keys).agg(_net().alias("rev"))
+    net = F.sum("net").cast("double") / 100.0 if is_state(sales) else _net()
+    revenue = sales.groupBy(*keys).agg(net.alias("rev"))
     a = F.sum(F.when(F.col("abc_class") == "A", F.col("rev")).otherwise(0.0))
     joined = revenue.join(abc_xyz.select(*KEYS, "abc_class"), list(KEYS), "left")
     return _one(joined, by, "a_class_revenue_share_pct", safe_divide(a, F.sum("rev"), 0) * 100)

@@ -8,6 +8,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -103,6 +104,18 @@ def row_rank(df: DataFrame, order_by: Sequence[Column], out: str = "row_rank") -
     return ranked.withColumn(out, F.col(out) - 1)
 
 
+#: Buckets for each doubling of a value; a bucket is 1.1 % wide.
+BUCKETS = 64
+
+
+def magnitude_bucket(value: str) -> Column:
+    """An integer that never falls as the value grows: sign and rounded logarithm of the magnitude."""
+    v = F.col(value).cast("double")
+    size = 100_000 + F.floor(F.least(F.greatest(F.log2(F.abs(v)), F.lit(-1_100.0)), F.lit(1_100.0)) * BUCKETS)
+    whole = F.when(v > 0, size).when(v < 0, -size).otherwise(F.lit(0))
+    return F.when(F.isnan(v), F.lit(1_000_000)).otherwise(whole).cast("bigint")
+
+
 def exact_quantiles(
     df: DataFrame,
     keys: Sequence[str],
@@ -112,22 +125,29 @@ def exact_quantiles(
 ) -> DataFrame:
     """Exact quantiles per key with linear interpolation between neighbours.
 
-    The rows are first reduced to a (key, value) histogram with map-side combine,
-    so a hot key costs its distinct values, not its rows. Every key, null included, is then
-    ranked by a chunked prefix sum, so that no task holds or sorts a wide one.
-    ``weight`` names a repeat count when ``df`` is a histogram already.
+    A histogram of magnitude buckets, which is a sketch that adds up, brackets each quantile: running counts over
+    a key's few buckets name the bucket that holds it and how many values lie below. The values of those buckets
+    alone are then ranked. Rows are reduced to (key, value) counts and shuffled once, by key and bucket, so a hot key
+    costs its distinct values and spreads over its buckets; nothing is written or range partitioned. Null keys are
+    a key, null values none. ``weight`` names a repeat count when ``df`` is a histogram already.
     """
     keys = list(keys)
     repeats = F.sum(weight) if weight else F.count(F.lit(1))
-    histogram = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(repeats.alias("_n"))
-    return _ranked_quantiles(histogram, keys, value, probs)
-
-
-def _ranked_quantiles(histogram: DataFrame, keys: list[str], value: str, probs: Mapping[str, float]) -> DataFrame:
-    """Quantiles from running counts; both branches read the prefix sum's written table."""
-    ranked = prefix_sum(histogram, {"_upto": "_n"}, [F.col(value).asc()], keys)
-    sizes = ranked.groupBy(*keys).agg(F.sum("_n").alias("_size"))
+    rows = df.where(F.col(value).isNotNull()).withColumn("_bucket", magnitude_bucket(value))
+    histogram = rows.groupBy(*keys, "_bucket", value).agg(repeats.alias("_n"))
+    sketch = histogram.groupBy(*keys, "_bucket").agg(F.sum("_n").alias("_n"))
+    key = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
+    upto = key.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = sketch.select(*keys, "_bucket", "_n", F.sum("_n").over(upto).alias("_upto"), F.sum("_n").over(key).alias("_size"))
     position = {out: (F.col("_size") - 1) * F.lit(float(p)) for out, p in probs.items()}
+    ranks = [r for at in position.values() for r in (F.floor(at), F.ceil(at))]
+    below = F.col("_upto") - F.col("_n")
+    needed = functools.reduce(lambda x, y: x | y, [(below <= r) & (F.col("_upto") > r) for r in ranks])
+    brackets = placed.where(needed).select(*keys, "_bucket", below.alias("_below"), "_size")
+    same = [F.col(f"h.{k}").eqNullSafe(F.col(f"b.{k}")) for k in (*keys, "_bucket")]
+    inside = histogram.alias("h").join(brackets.alias("b"), same).select("h.*", "b._below", "b._size")
+    ordered = Window.partitionBy(*keys, "_bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = inside.withColumn("_upto", F.col("_below") + F.sum("_n").over(ordered))
     picks = []
     for out, at in position.items():
         picks += [
@@ -135,11 +155,8 @@ def _ranked_quantiles(histogram: DataFrame, keys: list[str], value: str, probs:
             F.min(F.when(F.col("_upto") > F.ceil(at), F.col(value))).cast("double").alias(f"_hi_{out}"),
             F.max(at - F.floor(at)).alias(f"_w_{out}"),
         ]
-    same = [F.col(f"r.{k}").eqNullSafe(F.col(f"s.{k}")) for k in keys]
-    sized = ranked.alias("r").join(sizes.alias("s"), same).select("r.*", "s._size")
-    found = sized.groupBy(*keys).agg(*picks)
     between = lambda o: F.col(f"_lo_{o}") + (F.col(f"_hi_{o}") - F.col(f"_lo_{o}")) * F.col(f"_w_{o}")
-    return found.select(*keys, *[between(o).alias(o) for o in probs])
+    return ranked.groupBy(*keys).agg(*picks).select(*keys, *[between(o).alias(o) for o in probs])
 
 
 def densify(df: DataFrame, keys: Sequence[str], period: str, value: str) -> DataFrame:

@@ -7,11 +7,15 @@ from pyspark.sql import functions as F
 
 from stocklens.config import DEFAULTS, Settings
 from stocklens.functions.scalar import KEYS, exact_std, order_quantity, reorder_point, safe_divide, safety_stock, square
+from stocklens.operators.key_day import is_state
 
 
 def demand_stats(sales: DataFrame) -> DataFrame:
-    """Mean and spread of daily quantity per part and dealer over days with sales."""
-    daily = sales.groupBy(*KEYS, "transaction_date").agg(F.sum("qty_sold").alias("q"))
+    """Mean and spread of daily quantity per part and dealer over days with sales; of a fact or a key x day state."""
+    if is_state(sales):  # it has one row per key and day
+        daily = sales.select(*KEYS, F.col("qty_sold").alias("q"))
+    else:
+        daily = sales.groupBy(*KEYS, "transaction_date").agg(F.sum("qty_sold").alias("q"))
     sums = daily.groupBy(*KEYS).agg(
         F.count("q").alias("n"), F.sum("q").alias("s"), F.sum(square(F.col("q"))).alias("qq")
     )

@@ -17,7 +17,7 @@ from stocklens.functions.scalar import (
     safe_divide,
     year_month,
 )
-from stocklens.operators import kpi, measures
+from stocklens.operators import cube, key_day, kpi, measures
 from stocklens.operators.classify import abc_xyz_summary, action_matrix
 from stocklens.operators.latest import latest_row
 from stocklens.sources.scratch import materialize
@@ -218,20 +218,32 @@ def action_list(
 
 
 def kpi_cards(
-    sales: DataFrame, inventory: DataFrame, po: DataFrame, parts: DataFrame, policy: DataFrame, as_of, s: Settings = DEFAULTS
+    sales: DataFrame, inventory: DataFrame, po: DataFrame, parts: DataFrame, policy: DataFrame, as_of,
+    classified: DataFrame | None = None, forecasts: DataFrame | None = None, s: Settings = DEFAULTS,
 ) -> DataFrame:
     """(card, value): the headline figures of all pages, on the latest stock.
 
-    The latest stock is written once at key level; the sales, stock and order
-    figures are one pass each over their fact.
+    The latest stock is written once at key level; the sales, stock and order figures are one pass each over their
+    fact (or over a key x day state of the sales). ``classified`` and ``forecasts`` add the cards that need them.
     """
     stock = materialize(
         latest_row(inventory, "snapshot_date", ["qty_on_hand", "qty_available", "avg_unit_cost", "last_movement_date"]),
         "latest_stock",
     )
     turnover = measures.inventory_turnover_ratio(sales, inventory, as_of)
+    end = as_of_or_max(as_of, sales, "transaction_date")
+    this_year = F.col("transaction_date").between(F.trunc(end, "YEAR"), end)
+    ordered = F.col("order_date").between(F.trunc(end, "YEAR"), end)
+    growth = cube.sales_measures(sales, end)
+    net = "net" if key_day.is_state(sales) else F.col("qty_sold") * F.col("unit_price") * (F.lit(100) - F.col("discount_pct"))
     frames = [
         measures.sales_overview(sales),
+        cube.measures_of(sales, {n: growth[n] for n in ("revenue_vs_prior", "gross_profit_margin_pct", "avg_monthly_demand_per_part", "demand_mom_growth_pct")}),
+        sales.where(this_year).agg(
+            num_round(F.sum(net).cast("double") / 100.0, 2).alias("revenue_ytd"), F.sum("qty_sold").alias("units_ytd")),
+        po.where(ordered).agg(num_round(F.sum(F.col("qty_ordered") * F.col("unit_cost")).cast("double"), 2).alias("po_value_ytd")),
+        measures.avg_coverage_days(stock, sales, as_of),
+        measures.recommended_order_qty(stock, policy),
         measures.stock_overview(stock, as_of, slow_days=s.slow_days, dead_days=s.dead_days),
         measures.active_sku_count(stock, parts),
         turnover.select("inventory_turnover", num_round(safe_divide(F.lit(365.0), F.col("inventory_turnover"), 0), 4).alias("days_on_hand")),
@@ -241,6 +253,10 @@ def kpi_cards(
         measures.urgency_score(stock, sales, policy, parts, as_of),
         policy.agg(half_even(F.avg(num_round("days_of_safety_stock", 6)), 2).alias("avg_safety_stock_days")),
     ]
+    if classified is not None:
+        frames.append(measures.a_class_revenue_share_pct(sales, classified))
+    if forecasts is not None:
+        frames += [measures.avg_forecast_mape(forecasts), measures.next_month_forecast_qty(forecasts, as_of)]
     out = _melt(frames[0])
     for frame in frames[1:]:
         out = out.unionByName(_melt(frame))

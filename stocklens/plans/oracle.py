@@ -782,7 +782,29 @@ def _cards() -> str:
     po = "(SELECT {e} FROM fact_purchase_orders)"
     on_time = f"CAST(COUNT(*) FILTER (WHERE po_status = 'Closed' AND lead_time_delta <= 0) AS DOUBLE) / COUNT(*) {_CLOSED} * 100"
     delay = "AVG(CASE WHEN lead_time_delta > 0 AND po_status = 'Closed' THEN lead_time_delta END)"
+    ytd = f"(SELECT {{e}} FROM fact_sales WHERE transaction_date BETWEEN date_trunc('year', {D}) AND {D})"
+    net, prior = "SUM(qty_sold * unit_price * (100 - discount_pct))", f"(SELECT SUM(qty_sold * unit_price * (100 - discount_pct)) FROM fact_sales WHERE {_PRI})"
+    growth = f"CAST({ytd.format(e=net)} - {prior} AS DOUBLE) / CAST({prior} AS DOUBLE)"
+    margin = f"(SELECT CAST(SUM(revenue - cogs) AS DOUBLE) / ({NET}) * 100 FROM fact_sales)"
+    per_part = """(SELECT CAST(SUM(qty_sold) AS DOUBLE) / (COUNT(DISTINCT part_id) * date_diff('month', min(transaction_date), max(transaction_date))) FROM fact_sales)"""
+    mom = f"(SELECT coalesce(CAST(coalesce({_NOW}, 0) - {_THEN} AS DOUBLE) / nullif({_THEN}, 0), 0) * 100 FROM fact_sales WHERE transaction_date >= date_trunc('month', {D} - INTERVAL 1 MONTH))"
+    share = f"""(SELECT CAST(SUM(CASE WHEN abc_class = 'A' THEN v ELSE 0 END) AS DOUBLE) / SUM(v) * 100 FROM (
+      SELECT part_id, dealer_id, {NET} AS v FROM fact_sales GROUP BY ALL) s LEFT JOIN abc a ON s.part_id = a.part_id AND s.dealer_id = a.dealer_id)"""
+    next_month = f"(SELECT SUM(forecast_qty) FROM nv_fc WHERE strftime(forecast_date, '%Y-%m') = strftime({D} + INTERVAL 1 MONTH, '%Y-%m'))"
+    orders = f"(SELECT CAST(SUM(qty_ordered * unit_cost) AS DOUBLE) FROM fact_purchase_orders WHERE order_date BETWEEN date_trunc('year', {D}) AND {D})"
     cards = [
+        ("revenue_vs_prior", r(growth, 4)),
+        ("gross_profit_margin_pct", r(margin, 4)),
+        ("avg_monthly_demand_per_part", r(per_part, 4)),
+        ("demand_mom_growth_pct", r(mom, 4)),
+        ("revenue_ytd", r(ytd.format(e=NET), 2)),
+        ("units_ytd", ytd.format(e="CAST(SUM(qty_sold) AS DOUBLE)")),
+        ("po_value_ytd", r(orders, 2)),
+        ("avg_stock_coverage_days", cov),
+        ("recommended_order_qty", "(SELECT CAST(coalesce(SUM(economic_order_qty), 0) AS DOUBLE) FROM short)"),
+        ("a_class_revenue_share_pct", r(share, 4)),
+        ("avg_forecast_mape", r("(SELECT CAST(SUM(CAST(mape AS DECIMAL(18,2))) AS DOUBLE) / COUNT(mape) FROM nv_fc)", 4)),
+        ("next_month_forecast_qty", r(next_month, 2)),
         ("total_revenue", r(f"(SELECT {NET} FROM fact_sales)", 2)),
         ("total_units_sold", "(SELECT CAST(SUM(qty_sold) AS DOUBLE) FROM fact_sales)"),
         ("fill_rate_pct", r(fill, 4)),
@@ -807,4 +829,118 @@ def _cards() -> str:
     return " UNION ALL ".join(f"SELECT '{n}' AS card, {v} AS value" for n, v in cards)
 
 
-add("v_kpi_cards", _cards(), *_SHORT_CTES)
+add("v_kpi_cards", _cards(), *_SHORT_CTES, NAIVE)
+add("v_action_list_by_risk", f"""
+SELECT part_number, part_name, s.dealer_id, combined_class, s.qty_available, s.reorder_point, {r('s.qty_available / nullif(avg_daily_demand, 0)', 1)} AS days_of_stock,
+       c.p AS stockout_probability, economic_order_qty
+FROM short s LEFT JOIN abc a ON s.part_id = a.part_id AND s.dealer_id = a.dealer_id JOIN dim_parts p ON s.part_id = p.part_id
+     LEFT JOIN scores c ON s.part_id = c.part_id AND s.dealer_id = c.dealer_id""", *_SHORT_CTES, WINDOWS, BARE_FEATURES, SCORES)
+
+# ---------------------------------------------------------------- an earlier day, as-of joins, labels
+def _earlier(name: str) -> None:
+    """The same query 200 days before the last transaction, over what was there by then."""
+    sql = ORACLE[name].replace("fact_sales AS (", "fact_sales_all AS (", 1).replace("fact_inventory AS (", "fact_inventory_all AS (", 1)
+    bounded = """today AS (SELECT max(transaction_date) - 200 AS d FROM fact_sales_all),
+fact_sales AS (SELECT * FROM fact_sales_all WHERE transaction_date <= (SELECT d FROM today)),
+fact_inventory AS (SELECT * FROM fact_inventory_all WHERE snapshot_date <= (SELECT d FROM today))"""
+    ORACLE[f"{name}_earlier"] = sql.replace("today AS (SELECT max(transaction_date) AS d FROM fact_sales)", bounded, 1)
+
+
+for _name in ("inventory_turnover", "fill_rate", "dead_stock", "stock_health", "abc_revenue", "demand_windows"):
+    _earlier(_name)
+
+add("stockout_risk_history", f"""
+SELECT snapshot_date, effective_date, part_number, part_name, category, p.is_critical, dealer_name, qty_available, qty_in_transit, rop AS reorder_point,
+       safety_stock_qty, {r('avg_daily_demand')} AS avg_daily_demand, {r('avg_lead_time_days')} AS avg_lead_time_days,
+       {r('qty_available / nullif(avg_daily_demand, 0)', 1)} AS days_of_stock_remaining,
+       CASE WHEN qty_available <= 0 THEN 'STOCKOUT' WHEN qty_available < safety_stock_qty THEN 'CRITICAL'
+            WHEN qty_available < rop THEN 'ORDER NOW' WHEN qty_available < rop * CAST(1.2 AS DOUBLE) THEN 'WATCH' ELSE 'OK' END AS risk_level
+FROM fact_inventory l ASOF LEFT JOIN versions v ON l.part_id = v.part_id AND l.dealer_id = v.dealer_id AND l.snapshot_date >= v.effective_date
+     JOIN dim_parts p ON l.part_id = p.part_id JOIN dim_dealers d ON l.dealer_id = d.dealer_id""", ABC, STATS, POLICY, f"""
+versions AS (SELECT part_id, dealer_id, safety_stock_qty, avg_daily_demand, avg_lead_time_days, reorder_point * f AS rop, {D} - age AS effective_date
+             FROM pol CROSS JOIN (VALUES (0, 1), (30, 2), (400, 3), (800, 4)) t(age, f))""")
+_RUN = """
+run AS (SELECT part_id, dealer_id, day, CAST(SUM(q) OVER (PARTITION BY part_id, dealer_id ORDER BY day) AS BIGINT) AS sold
+        FROM (SELECT part_id, dealer_id, transaction_date AS day, SUM(qty_sold) AS q FROM fact_sales GROUP BY ALL) t WHERE q > 0)"""
+_FUTURE = """
+ahead AS (
+  SELECT part_id, dealer_id, snapshot_date, qty_available, lead(snapshot_date) OVER w AS next_date,
+         min(CASE WHEN qty_available <= 0 THEN snapshot_date END) OVER (w ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS empty_date
+  FROM fact_inventory WINDOW w AS (PARTITION BY part_id, dealer_id ORDER BY snapshot_date)),
+due AS (SELECT a.*, coalesce(r.sold, 0) + greatest(qty_available, 0) AS due
+        FROM ahead a ASOF LEFT JOIN run r ON a.part_id = r.part_id AND a.dealer_id = r.dealer_id AND a.snapshot_date >= r.day),
+reached AS (SELECT a.*, CASE WHEN next_date IS NULL OR r.day < next_date THEN r.day END AS day
+            FROM due a ASOF LEFT JOIN run r ON a.part_id = r.part_id AND a.dealer_id = r.dealer_id AND a.due <= r.sold),
+gone AS (SELECT *, CASE WHEN qty_available <= 0 THEN snapshot_date ELSE least(empty_date, day) END AS gone_date FROM reached),
+labelled AS (SELECT part_id, dealer_id, snapshot_date, qty_available, gone_date, CAST(gone_date - snapshot_date AS INT) AS days_to_stockout,
+                    CASE WHEN gone_date - snapshot_date <= 14 THEN 1 ELSE 0 END AS stockout_within_horizon FROM gone)"""
+add("future_stockout_label", "SELECT * FROM labelled", _RUN, _FUTURE)
+add("future_label_counts", """
+SELECT snapshot_date, COUNT(*) AS snapshots, CAST(SUM(stockout_within_horizon) AS BIGINT) AS stockouts FROM labelled GROUP BY snapshot_date""", _RUN, _FUTURE)
+add("future_label_folds", """
+SELECT fold, COUNT(*) AS snapshots, CAST(SUM(stockout_within_horizon) AS BIGINT) AS stockouts, min(snapshot_date) AS first_day, max(snapshot_date) AS last_day
+FROM (SELECT *, CAST(CASE WHEN i < n - (n // 6) * 5 THEN 0 ELSE (i - (n - (n // 6) * 5)) // (n // 6) + 1 END AS INT) AS fold
+      FROM (SELECT *, row_number() OVER (ORDER BY snapshot_date, part_id, dealer_id) - 1 AS i, COUNT(*) OVER () AS n FROM labelled) t) u
+GROUP BY fold""", _RUN, _FUTURE)
+add("snapshot_demand", "SELECT i.part_id, i.dealer_id, i.snapshot_date, " + ", ".join(
+    f"coalesce(e.sold, 0) - coalesce(s{n}.sold, 0) AS qty_sold_{n}d" for n in (30, 60, 90)) + """
+FROM (SELECT DISTINCT part_id, dealer_id, snapshot_date FROM fact_inventory) i
+ASOF LEFT JOIN run e ON i.part_id = e.part_id AND i.dealer_id = e.dealer_id AND i.snapshot_date >= e.day""" + "".join(
+    f" ASOF LEFT JOIN run s{n} ON i.part_id = s{n}.part_id AND i.dealer_id = s{n}.dealer_id AND i.snapshot_date - {n + 1} >= s{n}.day" for n in (30, 60, 90)), _RUN)
+
+# ---------------------------------------------------------------- key x day state, periods, subtotals
+_KEY_DAY = """
+key_day AS (
+  SELECT part_id, dealer_id, transaction_date, CAST(SUM(qty_sold) AS BIGINT) AS qty_sold, CAST(SUM(revenue) AS DOUBLE) AS revenue, CAST(SUM(cogs) AS DOUBLE) AS cogs,
+         CAST(SUM(backorder_qty) AS BIGINT) AS backorder_qty, COUNT(*) AS lines, COUNT(qty_sold) AS qty_lines,
+         CAST(SUM(CAST(qty_sold AS BIGINT) * qty_sold) AS BIGINT) AS qty_squares, COUNT(*) FILTER (WHERE was_fulfilled) AS filled,
+         COUNT(*) FILTER (WHERE NOT was_fulfilled) AS missed, CAST(SUM(qty_sold * unit_price * (100 - discount_pct)) AS DOUBLE) AS net
+  FROM fact_sales GROUP BY part_id, dealer_id, transaction_date)"""
+for _name in ("key_day_state", "key_day_state_update"):
+    add(_name, "SELECT * FROM key_day", _KEY_DAY)
+for _name in ("demand_windows", "fill_rate", "service_level"):
+    ORACLE[f"key_day_{_name}"] = ORACLE[_name]
+
+
+def _periods(by: str, source: str) -> str:
+    """The standard periods by conditional sums over all days of each group."""
+    spans = {
+        "mtd": ("date_trunc('month', m)", "m"), "ytd": ("date_trunc('year', m)", "m"),
+        "prior_month_mtd": ("date_trunc('month', m - INTERVAL 1 MONTH)", "m - INTERVAL 1 MONTH"),
+        "prior_year_mtd": ("date_trunc('month', m) - INTERVAL 12 MONTH", "m - INTERVAL 12 MONTH"),
+        "prior_year_ytd": ("date_trunc('year', m) - INTERVAL 12 MONTH", "m - INTERVAL 12 MONTH"),
+        "trailing_12": ("m - INTERVAL 12 MONTH + INTERVAL 1 DAY", "m"),
+    }
+    value = lambda c, name, kind: f"CAST(coalesce(SUM({c}) FILTER (WHERE day BETWEEN {spans[name][0]} AND {spans[name][1]}), 0) AS {kind})"
+    sums = [f"{value(c, name, kind)} AS {out}_{name}" for c, out, kind in (("q", "units", "BIGINT"), ("v", "revenue", "DOUBLE")) for name in spans]
+    return f"""
+SELECT {by}m AS anchor, {', '.join(sums)}
+FROM (SELECT {by}transaction_date AS day, SUM(qty_sold) AS q, SUM(revenue) AS v FROM {source} GROUP BY ALL) d
+CROSS JOIN (SELECT last_day(CAST(unnest(generate_series(date_trunc('month', min(transaction_date)), date_trunc('month', max(transaction_date)), INTERVAL 1 MONTH)) AS DATE)) AS m
+            FROM fact_sales) t GROUP BY {by}m"""
+
+
+add("period_table", _periods("dealer_id, ", "fact_sales"))
+add("period_table_total", _periods("", "fact_sales"))
+add("period_table_category", _periods("category, ", "fact_sales s JOIN dim_parts p ON s.part_id = p.part_id"))
+_LAST = f"transaction_date BETWEEN date_trunc('month', {D} - INTERVAL 1 MONTH) AND {D} - INTERVAL 1 MONTH"
+_SUBTOTALS = f"""{r(NET, 2)} AS total_revenue, CAST(SUM(qty_sold) AS BIGINT) AS total_units_sold,
+       {r(f'coalesce(CAST(SUM(revenue - cogs) AS DOUBLE) / nullif({NET}, 0), 0) * 100', 4)} AS gross_profit_margin_pct,
+       {r(_OK, 4)} AS fill_rate_pct, {r(f'100.0 - {_OK}', 4)} AS backorder_rate_pct, COUNT(DISTINCT s.part_id) AS parts_sold,
+       {r("coalesce(CAST(SUM(qty_sold) AS DOUBLE) / nullif(COUNT(DISTINCT s.part_id) * date_diff('month', min(transaction_date), max(transaction_date)), 0), 0)", 4)}
+         AS avg_monthly_demand_per_part,
+       {r(f'coalesce(CAST(coalesce(SUM(n) FILTER (WHERE {_CUR}), 0) - SUM(n) FILTER (WHERE {_PRI}) AS DOUBLE) / nullif(CAST(SUM(n) FILTER (WHERE {_PRI}) AS DOUBLE), 0), 0)', 4)}
+         AS revenue_vs_prior,
+       {r(f"coalesce(CAST(coalesce({_NOW}, 0) - SUM(qty_sold) FILTER (WHERE {_LAST}) AS DOUBLE) / nullif(CAST(SUM(qty_sold) FILTER (WHERE {_LAST}) AS DOUBLE), 0), 0) * 100", 4)}
+         AS demand_mom_growth_pct"""
+_LINES = "(SELECT *, qty_sold * unit_price * (100 - discount_pct) AS n, CAST(year(transaction_date) AS INT) AS year FROM fact_sales) s"
+add("measure_rollup_dealer_type", f"""
+SELECT dealer_id, customer_type, CAST(GROUPING(dealer_id, customer_type) AS INT) AS level, {_SUBTOTALS} FROM {_LINES} GROUP BY ROLLUP (dealer_id, customer_type)""")
+add("measure_cube_category", f"""
+SELECT category, dealer_id, year, CAST(GROUPING(category, dealer_id, year) AS INT) AS level, {_SUBTOTALS}
+FROM {_LINES} JOIN dim_parts p ON s.part_id = p.part_id GROUP BY CUBE (category, dealer_id, year)""")
+add("measure_rollup_stock", f"""
+SELECT dealer_id, category, brand, CAST(GROUPING(dealer_id, category, brand) AS INT) AS level, {r(_VAL, 2)} AS total_inventory_value,
+       {r(f'coalesce({_DEADV}, 0)', 2)} AS dead_stock_value, {r(f'coalesce({_DEADV} / nullif({_VAL}, 0), 0) * 100', 4)} AS dead_stock_pct,
+       COUNT(DISTINCT l.part_id) AS sku_count
+FROM latest l JOIN dim_parts p ON l.part_id = p.part_id GROUP BY ROLLUP (dealer_id, category, brand)""", LATEST)

@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, DoubleType
 
 from stocklens.functions.scalar import num_round
-from stocklens.operators import classify, cleaning, features, forecast, kpi, latest, measures, ordered, quality, replenish, stockout
+from stocklens.operators import (
+    classify, cleaning, cube, features, forecast, future, key_day, kpi, latest, measures, ordered, periods, quality, replenish, stockout,
+)
 from stocklens.plans import dashboards
 from stocklens.plans.pipeline import run_pipeline
 from stocklens.schemas import apply_defaults, derive_inventory, derive_purchase_orders, derive_sales
@@ -49,9 +51,14 @@ def _classified(s: Star) -> DataFrame:
     return classify.abc_xyz(s.sales, as_of=s.as_of)
 
 
+def _classified_state(s: Star) -> DataFrame:
+    """Classes from the key x day state, for queries in which other operators read it as well."""
+    return classify.abc_xyz(s.state, as_of=s.as_of)
+
+
 def _policies(s: Star, classified: DataFrame | None = None) -> DataFrame:
-    abc = _classified(s) if classified is None else classified
-    return replenish.reorder_policies(s.sales, s.purchase_orders, abc, s.parts)
+    abc = _classified_state(s) if classified is None else classified
+    return replenish.reorder_policies(s.state, s.purchase_orders, abc, s.parts)
 
 
 def _policy_history(s: Star) -> DataFrame:
@@ -63,6 +70,17 @@ def _policy_history(s: Star) -> DataFrame:
     return now.withColumn("effective_date", F.lit(str(s.as_of)).cast("date")).unionByName(old)
 
 
+def _policy_versions(s: Star) -> DataFrame:
+    """Four policies per part and dealer, valid from different days on."""
+    now = materialize(_policies(s), "policies")
+    ages = F.array(*[F.struct(F.lit(d).alias("age"), F.lit(f).alias("factor")) for d, f in ((0, 1), (30, 2), (400, 3), (800, 4))])
+    rows = now.select("*", F.inline(ages))
+    return rows.withColumns({
+        "effective_date": F.date_sub(F.lit(str(s.as_of)).cast("date"), F.col("age")),
+        "reorder_point": F.col("reorder_point") * F.col("factor"),
+    }).drop("age", "factor")
+
+
 def _stock(s: Star) -> DataFrame:
     return latest.latest_row(
         s.inventory, "snapshot_date", ["qty_on_hand", "qty_available", "avg_unit_cost", "last_movement_date"]
@@ -74,8 +92,8 @@ def _branded(s: Star) -> DataFrame:
 
 
 def _features(s: Star) -> DataFrame:
-    abc = _classified(s)
-    return features.build_features(s.inventory, s.sales, s.purchase_orders, _policies(s, abc), abc, s.as_of)
+    abc = _classified_state(s)
+    return features.build_features(s.inventory, s.state, s.purchase_orders, _policies(s, abc), abc, s.as_of)
 
 
 def _dirty_sales(s: Star) -> DataFrame:
@@ -237,6 +255,67 @@ def stockout_risk_view(s):
 @query
 def service_level(s): return kpi.service_level(s.sales)
 
+@query
+def stockout_risk_history(s): return kpi.stockout_risk_history(s.inventory, _policy_versions(s), s.parts, s.dealers)
+
+
+def _earlier(s: Star) -> dt.date:
+    """A day well before the last transaction: rows after it must not count."""
+    return s.as_of - dt.timedelta(days=200)
+@query
+def inventory_turnover_earlier(s): return kpi.inventory_turnover(s.sales, s.inventory, s.parts, _earlier(s))
+@query
+def fill_rate_earlier(s): return kpi.fill_rate(s.sales, s.dealers, _earlier(s))
+@query
+def dead_stock_earlier(s): return kpi.dead_stock(s.inventory, s.sales, s.parts, s.dealers, _earlier(s))
+@query
+def stock_health_earlier(s): return kpi.stock_health(s.inventory, s.sales, s.parts, s.dealers, _earlier(s))
+@query
+def abc_revenue_earlier(s): return kpi.abc_revenue(s.sales, s.parts, s.dealers, _earlier(s))
+@query
+def demand_windows_earlier(s): return features.demand_windows(s.sales, as_of=_earlier(s))
+
+# ---------------------------------------------------------------- key x day state, periods, subtotals
+def _stored_state(s: Star) -> DataFrame:
+    """The state of two batches that share every part, dealer and day, the second one loaded twice."""
+    folder, late = _scratch(s, "key_day"), F.col("order_source").isin("1-URGENT", "2-HIGH")
+    states = [key_day.key_day_state(s.sales.where(rows)) for rows in (~late, late)]
+    for state, batch in ((states[0], "a"), (states[1], "b"), (states[1], "b")):
+        key_day.write_batch(state, folder, batch)
+    return key_day.read_state(s.spark, folder, states[0].schema)
+@query
+def key_day_state(s): return s.state
+@query
+def key_day_state_update(s): return _stored_state(s)
+@query
+def key_day_demand_windows(s): return features.demand_windows(_stored_state(s), as_of=s.as_of)
+@query
+def key_day_fill_rate(s): return kpi.fill_rate(s.state, s.dealers, s.as_of)
+@query
+def key_day_service_level(s): return kpi.service_level(s.state)
+PERIOD_VALUES = {"units": "qty_sold", "revenue": "revenue"}
+@query
+def period_table(s): return periods.period_table(s.state, PERIOD_VALUES, ("dealer_id",))
+@query
+def period_table_total(s): return periods.period_table(s.state, PERIOD_VALUES)
+@query
+def period_table_category(s):
+    per_part = s.state.groupBy("part_id", "transaction_date").agg(F.sum("qty_sold").alias("qty_sold"), F.sum("revenue").alias("revenue"))
+    return periods.period_table(per_part.join(s.parts.select("part_id", "category"), "part_id"), PERIOD_VALUES, ("category",))
+@query
+def measure_rollup_dealer_type(s):
+    by = ("dealer_id", "customer_type")
+    return cube.measure_cube(s.sales, cube.sales_measures(s.sales, s.as_of), by, cube.rollup_sets(by))
+@query
+def measure_cube_category(s):
+    rows = s.state.join(s.parts.select("part_id", "category", "brand"), "part_id").withColumn("year", F.year("transaction_date"))
+    return cube.measure_cube(rows, cube.sales_measures(rows, s.as_of), ("category", "dealer_id", "year"))
+@query
+def measure_rollup_stock(s):
+    by = ("dealer_id", "category", "brand")
+    rows = _stock(s).join(s.parts.select("part_id", "category", "brand"), "part_id")
+    return cube.measure_cube(rows, cube.stock_measures(s.as_of), by, cube.rollup_sets(by))
+
 # ---------------------------------------------------------------- latest row, ordered
 @query
 def latest_inventory(s):
@@ -348,7 +427,7 @@ def stockout_features(s): return _features(s)
 def stockout_features_fallback(s):
     return features.build_features(s.inventory, s.sales, files.empty_purchase_orders(s.spark), as_of=s.as_of)
 def _rule_scores(s):
-    base = features.build_features(s.inventory, s.sales, files.empty_purchase_orders(s.spark), as_of=s.as_of)
+    base = features.build_features(s.inventory, s.state, files.empty_purchase_orders(s.spark), as_of=s.as_of)
     # A graded score with many ties, independent of the target's own demand window.
     return base.select(
         "part_id", "dealer_id", features.TARGET_COL,
@@ -360,6 +439,20 @@ def classification_report(s): return stockout.classification_report(_rule_scores
 @query
 def ordered_folds(s): return stockout.assign_folds(s.inventory.select("snapshot_date", "part_id", "dealer_id"), ["snapshot_date", "part_id", "dealer_id"])
 @query
+def future_stockout_label(s): return future.label_future_stockout(s.inventory, s.state)
+@query
+def future_label_counts(s): return future.label_counts(future.label_future_stockout(s.inventory, s.state))
+@query
+def future_label_folds(s):
+    """The labelled snapshots in time order, cut into expanding folds: rows, stock-outs and days of each."""
+    labelled = future.label_future_stockout(s.inventory, s.state)
+    folds = stockout.assign_folds(labelled, ["snapshot_date", "part_id", "dealer_id"])
+    return folds.groupBy("fold").agg(
+        F.count(F.lit(1)).alias("snapshots"), F.sum(future.FUTURE_COL).alias("stockouts"),
+        F.min("snapshot_date").alias("first_day"), F.max("snapshot_date").alias("last_day"))
+@query
+def snapshot_demand(s): return future.demand_before(s.inventory, s.state)
+@query
 def stockout_scores(s):
     fixed = materialize(_features(s), "features")
     return stockout.score_inventory(stockout.train_stockout(fixed), fixed)
@@ -428,7 +521,7 @@ def m_avg_delay_days(s): return measures.avg_delay_days(s.purchase_orders, ("sup
 def m_next_month_forecast(s):
     return measures.next_month_forecast_qty(forecast.naive_forecast(_branded(s), SERIES_KEYS), s.as_of, DEALER)
 @query
-def m_urgency_score(s): return measures.urgency_score(_stock(s), s.sales, _policies(s), s.parts, s.as_of, DEALER)
+def m_urgency_score(s): return measures.urgency_score(_stock(s), s.state, _policies(s), s.parts, s.as_of, DEALER)
 @query
 def m_recommended_order_qty(s): return measures.recommended_order_qty(_stock(s), _policies(s), DEALER)
 @query
@@ -473,9 +566,16 @@ def v_supplier_scorecard(s): return dashboards.supplier_scorecard(s.purchase_ord
 def v_late_deliveries(s): return dashboards.late_deliveries_by_month(s.purchase_orders, s.suppliers)
 @query
 def v_action_list(s):
-    abc = _classified(s)
+    abc = _classified_state(s)
     return dashboards.action_list(s.inventory, _policies(s, abc), s.parts, abc)
 @query
+def v_action_list_by_risk(s):
+    abc = _classified_state(s)
+    scores = _rule_scores(s).select("part_id", "dealer_id", F.col("probability").alias("stockout_probability"))
+    return dashboards.action_list(s.inventory, _policies(s, abc), s.parts, abc, scores)
+@query
 def v_kpi_cards(s):
-    policies = materialize(_policies(s), "policies")
-    return dashboards.kpi_cards(s.sales, s.inventory, s.purchase_orders, s.parts, policies, s.as_of)
+    abc = _classified_state(s)
+    policies = materialize(_policies(s, abc), "policies")
+    forecasts = materialize(forecast.naive_forecast(_branded(s), SERIES_KEYS), "forecasts")
+    return dashboards.kpi_cards(s.state, s.inventory, s.purchase_orders, s.parts, policies, s.as_of, abc, forecasts)

@@ -12,6 +12,8 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stocklens.operators.key_day import key_day_state
+from stocklens.sources.scratch import materialize
 
 # Declared types: no footer has to be read to plan a query.
 SOURCES = {
@@ -128,6 +130,11 @@ class Star:
             F.when(F.col("was_fulfilled"), 0).otherwise(F.col("qty_sold")).alias("backorder_qty"),
         )
 
+    @cached_property
+    def state(self) -> DataFrame:
+        """Sales per part, dealer and day, written once: what several key-level operators read instead of the fact."""
+        return materialize(key_day_state(self.sales), "key_day")
+
     @cached_property
     def inventory(self) -> DataFrame:
         """A month-start snapshot per part and dealer for every month of sales.

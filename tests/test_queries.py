@@ -7,9 +7,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from stocklens.plans import registry
+from stocklens.plans.oracle import ORACLE
 
 FOLDER = "/root/testdata/sf0.001"
-TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test tables are not here")
 SLOW = {"stockout_scores", "stockout_model_metrics", "stockout_feature_importance", "stockout_cross_validation", "pipeline_outputs"}
 
@@ -17,8 +18,9 @@ SLOW = {"stockout_scores", "stockout_model_metrics", "stockout_feature_importanc
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
-    for t in TABLES:
-        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{FOLDER}/{t}.parquet'")
+    for name in sorted(os.listdir(FOLDER)):
+        if name.endswith(".parquet"):
+            con.execute(f"CREATE VIEW {name.removesuffix('.parquet')} AS SELECT * FROM '{FOLDER}/{name}'")
     return con
 
 
@@ -32,7 +34,7 @@ def ordered(rows):
     return sorted((tuple(plain(v) for v in r) for r in rows), key=lambda r: [(v is None, str(v)) for v in r])
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_equals_sql(name, spark, duck):
     df = entry.queries()[name](spark, FOLDER)
     columns = sorted(df.columns)
@@ -43,10 +45,14 @@ def test_query_equals_sql(name, spark, duck):
     assert ordered(df.select(columns).collect()) == ordered(expected)
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - set(entry.oracle_sql()) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(registry.QUERIES) - set(ORACLE) - SLOW))
 def test_query_runs(name, spark):
     assert not entry.queries()[name](spark, FOLDER).isEmpty()
 
 
+def test_every_query_is_an_entry():
+    assert set(registry.QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql()) <= set(entry.queries())
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
