@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from stocklens.llm.common import store, table
 from stocklens.llm.decontam import contaminated_texts, with_text_key
-from stocklens.llm.jaccard import jaccard_components
+from stocklens.llm.jaccard import document_components
 from stocklens.llm.packing import pack_documents
 from stocklens.llm.quality import accepted, quality_weights
 from stocklens.llm.spans import without_repeated_spans
@@ -32,12 +32,15 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of linked ones: the one with the smallest doc_id. Rows that repeat its
-    doc_id and text are one document; documents with a null doc_id are linked with nothing and stay."""
+    """One document of each group of linked ones: the one with the smallest doc_id, of several texts of that id the
+    one with the smallest hash. Rows that repeat id and text are one document; documents without words are linked
+    with nothing and stay (of several such texts of one id one), and so do documents with a null doc_id."""
     docs = _columns(docs)
-    kept = store(jaccard_components(docs).where("doc_id = component_id").select("doc_id").distinct(), "kept_ids")
-    named = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi")
-    return named.dropDuplicates(["doc_id", "text"]).unionByName(docs.where("doc_id is null")).select(*COLUMNS)
+    found = document_components(docs).where("doc_id is not null")
+    first = found.groupBy("component_id", F.col("n_shingles") == 0).agg(F.min(F.struct("doc_id", "text_hash")).alias("kept"))
+    kept = store(first.select("kept.doc_id", "kept.text_hash"), "kept_ids")
+    named = docs.where("doc_id is not null").withColumn("text_hash", F.xxhash64("text")).join(kept, ["doc_id", "text_hash"], "left_semi")
+    return named.dropDuplicates(["doc_id", "text"]).unionByName(docs.where("doc_id is null"), allowMissingColumns=True).select(*COLUMNS)
 
 
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -160,9 +160,10 @@ def _summed(state: DataFrame) -> DataFrame:
     return state.groupBy(*_STATE).agg(F.sum("n").alias("n"), F.bit_xor("x").alias("x"), F.bit_xor("c").alias("c")).where(full)
 
 
-def peeled(state: DataFrame, steps: int = STEPS) -> DataFrame:
+def peeled(state: DataFrame, steps: int = STEPS, tell: bool = True) -> DataFrame:
     """The state after so many steps: entries of the fourth row are digests (in `cell`) that the first (n = 1) or
-    the second version (n = -1) of the pair has alone; other entries of a pair are what could not be peeled."""
+    the second version (n = -1) of the pair has alone; other entries of a pair are what could not be peeled.
+    Without `tell` the digests are only counted: the fourth row has a single entry with their number."""
     x, c, n, part = (F.col(k) for k in ("x", "c", "n", "part"))
     bits = F.shiftright("part", 3)
     for step in range(steps):
@@ -170,7 +171,8 @@ def peeled(state: DataFrame, steps: int = STEPS) -> DataFrame:
         base = part - row
         alone = (part >= 0) & (part.bitwiseAND(F.lit(3)) == row) & (F.abs(n) == 1) & (c == _check(x))
         zero = F.lit(0).cast("bigint")
-        out = [F.struct((base + _PEELED).alias("part"), x.alias("cell"), n.alias("n"), zero.alias("x"), zero.alias("c"))]
+        cell, times = (x, n) if tell else (zero, zero + 1)
+        out = [F.struct((base + _PEELED).alias("part"), cell.alias("cell"), times.alias("n"), zero.alias("x"), zero.alias("c"))]
         for other in sorted({0, 1, 2} - {row}):
             out.append(F.struct((base + other).alias("part"), _cell(x, other, bits).alias("cell"), (-n).alias("n"), x.alias("x"), c.alias("c")))
         same = F.struct(part.alias("part"), F.col("cell"), n.alias("n"), x.alias("x"), c.alias("c"))
@@ -185,14 +187,14 @@ def differences(state: DataFrame) -> DataFrame:
 
 
 def _outcome(state: DataFrame, pairs: int, folded: int) -> DataFrame:
-    """(k1, k2, found_i, left_i, print_j): digests recovered and cells left of each pair, folded sketches as text."""
+    """(k1, k2, found_i, left_i, print_j) of a state peeled without `tell`: digests recovered and cells left of each
+    pair, folded sketches as text."""
     peeled_row = F.col("part").bitwiseAND(F.lit(3)) == _PEELED
     pair = F.shiftright(F.col("part"), 2).bitwiseAND(F.lit(1))
-    # What is peeled or left needs only be counted: two numbers a pair, not a row for each digest.
     kind = F.when(F.col("part") < 0, F.col("part")).otherwise(pair * 2 + F.when(peeled_row, 0).otherwise(1))
     cell = F.when(F.col("part") < 0, F.col("cell")).otherwise(F.lit(0).cast("bigint"))
     few = state.groupBy(*_KEY, kind.alias("kind"), cell.alias("cell")).agg(
-        F.count(F.lit(1)).alias("m"), F.sum("n").alias("n"), F.bit_xor("x").alias("x"), F.bit_xor("c").alias("c")
+        F.sum(F.when(peeled_row, F.col("n")).otherwise(1)).alias("m"), F.sum("n").alias("n"), F.bit_xor("x").alias("x"), F.bit_xor("c").alias("c")
     )
     counts = [F.sum(F.when(F.col("kind") == 2 * i + j, F.col("m")).otherwise(0)).alias(f"{name}_{i}") for i in range(pairs) for j, name in enumerate(("found", "left"))]
     text = F.concat_ws(":", F.lpad(F.hex("cell"), 2, "0"), F.hex("n"), F.hex("x"), F.hex("c"))
@@ -205,7 +207,7 @@ def _attempt(docs: DataFrame, order: DataFrame, attempt: int) -> DataFrame:
     texts = with_digests(with_digests(versions(docs, order), "text", "d_text"), "edited", "d_edited")
     cells = sketches(texts, ["d_text", "d_edited", "d_next"], attempt)
     state = subtracted(cells, [("d_text", "d_edited"), ("d_text", "d_next")], ["d_text", "d_edited"])
-    found = _outcome(peeled(state), 2, 2)
+    found = _outcome(peeled(state, tell=False), 2, 2)
     sizes = [F.size(f"d_{v}").alias(f"s_{v}") for v in ("text", "edited", "next")]
     own = texts.select(*_KEY, F.sha2("edited", 256).alias("edited_sha256"), *sizes).join(order.select("doc_id", *_KEY, "n_chars", "copies"), _KEY)
     joined = own.join(found, _KEY, "left").fillna({"found_0": 0, "left_0": 0, "found_1": 0, "left_1": 0, "print_0": "", "print_1": ""})
