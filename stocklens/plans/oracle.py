@@ -944,3 +944,28 @@ SELECT dealer_id, category, brand, CAST(GROUPING(dealer_id, category, brand) AS
        {r(f'coalesce({_DEADV}, 0)', 2)} AS dead_stock_value, {r(f'coalesce({_DEADV} / nullif({_VAL}, 0), 0) * 100', 4)} AS dead_stock_pct,
        COUNT(DISTINCT l.part_id) AS sku_count
 FROM latest l JOIN dim_parts p ON l.part_id = p.part_id GROUP BY ROLLUP (dealer_id, category, brand)""", LATEST)
+
+
+# ---------------------------------------------------------------- stored tables
+add("stored_parts", "SELECT CAST(part_id AS INT) AS part_id, part_number, part_name, CAST(standard_cost AS DOUBLE) AS standard_cost, is_critical FROM dim_parts")
+add("stored_suppliers", "SELECT CAST(supplier_id AS INT) AS supplier_id, supplier_name, country, lead_time_days, is_preferred FROM dim_suppliers")
+add("stored_dealers", "SELECT CAST(dealer_id AS INT) AS dealer_id, dealer_name, region FROM dim_dealers")
+_MONTH = "CAST(date_trunc('month', {}) AS DATE) AS month"
+add("stored_inventory", f"""
+SELECT {_MONTH.format('snapshot_date')}, snapshot_date, CAST(part_id AS INT) AS part_id, dealer_id, qty_available, CAST(total_stock_value AS DOUBLE) AS total_stock_value
+FROM fact_inventory""")
+add("stored_sales_months", f"""
+SELECT {_MONTH.format('transaction_date')}, dealer_id, COUNT(*) AS lines, CAST(SUM(revenue) AS DOUBLE) AS revenue FROM fact_sales GROUP BY ALL""")
+add("stored_purchase_orders", f"""
+SELECT {_MONTH.format('order_date')}, CAST(po_number AS VARCHAR) AS po_number, po_line, CAST(part_id AS INT) AS part_id, CAST(supplier_id AS INT) AS supplier_id,
+       order_date, qty_ordered, CAST(total_cost AS DOUBLE) AS total_cost, po_status FROM fact_purchase_orders""")
+add("stored_abc_xyz", f"""
+SELECT {_MONTH.format(D)}, CAST(part_id AS INT) AS part_id, dealer_id, combined_class, CAST(annual_revenue AS DOUBLE) AS annual_revenue FROM abc""", ABC)
+add("stored_policies", f"""
+SELECT {_MONTH.format(D)}, {D} AS effective_date, CAST(part_id AS INT) AS part_id, dealer_id, CAST(safety_stock_qty AS INT) AS safety_stock_qty,
+       CAST(reorder_point AS INT) AS reorder_point, CAST(economic_order_qty AS INT) AS economic_order_qty, CAST(max_stock_level AS INT) AS max_stock_level FROM pol""",
+    ABC, STATS, POLICY)
+add("stored_forecasts", f"""
+SELECT {_MONTH.format('forecast_date')}, forecast_date, CAST(part_id AS INT) AS part_id, dealer_id, forecast_qty, model_used FROM nk_fc""", NAIVE_KEY)
+add("distinct_parts_sketch", """
+SELECT category, COUNT(DISTINCT s.part_id) AS exact, TRUE AS within FROM fact_sales s JOIN dim_parts p ON s.part_id = p.part_id GROUP BY category""")

@@ -12,11 +12,14 @@ from pyspark.sql.types import DecimalType, DoubleType
 
 from stocklens.functions.scalar import num_round
 from stocklens.operators import (
-    classify, cleaning, cube, features, forecast, future, key_day, kpi, latest, measures, ordered, periods, quality, replenish, stockout,
+    classify, cleaning, cube, features, forecast, future, key_day, kpi, latest, measures, ordered, periods, quality, replenish, sketches,
+    stockout,
 )
 from stocklens.plans import dashboards
 from stocklens.plans.pipeline import run_pipeline
-from stocklens.schemas import apply_defaults, derive_inventory, derive_purchase_orders, derive_sales
+from stocklens.schemas import (
+    PARTITION_DATE, abc_xyz_table, apply_defaults, derive_inventory, derive_purchase_orders, derive_sales, forecast_table, policy_table,
+)
 from stocklens.sources import files
 from stocklens.sources.calendar import calendar_between
 from stocklens.sources.scratch import checkpoint_dir, materialize
@@ -177,6 +180,55 @@ def stored_sales(s):
     files.write_table(s.sales, "fact_sales", folder)
     return files.read_table(s.spark, "fact_sales", folder).select(
         "month", "transaction_date", "part_id", "dealer_id", "customer_type", "qty_sold", "unit_price", "revenue", "was_fulfilled")
+def _stored(s: Star, df: DataFrame, table: str, references: dict | None = None, keys: bool = True) -> DataFrame:
+    """The table after it was loaded in two batches of months, the later one twice."""
+    folder = _scratch(s, "warehouse")
+    day = PARTITION_DATE.get(table)
+    if day is None:
+        batches = [df, df]
+    else:
+        late = F.year(day) >= s.as_of.year - 1
+        batches = [df.where(~late), df.where(late), df.where(late)]
+    for batch in batches:
+        files.replace_months(batch, table, folder, references, keys)
+    return files.read_table(s.spark, table, folder)
+@query
+def stored_parts(s): return _stored(s, s.parts, "dim_parts").select("part_id", "part_number", "part_name", "standard_cost", "is_critical")
+@query
+def stored_suppliers(s): return _stored(s, s.suppliers, "dim_suppliers").select("supplier_id", "supplier_name", "country", "lead_time_days", "is_preferred")
+@query
+def stored_dealers(s): return _stored(s, s.dealers, "dim_dealers").select("dealer_id", "dealer_name", "region")
+@query
+def stored_inventory(s):
+    known = {"part_id": s.parts, "dealer_id": s.dealers}
+    return _stored(s, s.inventory, "fact_inventory", known).select("month", "snapshot_date", "part_id", "dealer_id", "qty_available", "total_stock_value")
+@query
+def stored_sales_months(s):
+    # The tables have no sale number: keys are not checked.
+    known = {"part_id": s.parts, "dealer_id": s.dealers}
+    return _stored(s, s.sales, "fact_sales", known, False).groupBy("month", "dealer_id").agg(F.count(F.lit(1)).alias("lines"), F.sum("revenue").alias("revenue"))
+@query
+def stored_purchase_orders(s):
+    known = {"part_id": s.parts, "supplier_id": s.suppliers, "dealer_id": s.dealers}
+    return _stored(s, s.purchase_orders, "fact_purchase_orders", known, False).select(
+        "month", "po_number", "po_line", "part_id", "supplier_id", "order_date", "qty_ordered", "total_cost", "po_status")
+@query
+def stored_abc_xyz(s):
+    return _stored(s, abc_xyz_table(_classified(s), s.as_of), "analytics_abc_xyz", {"part_id": s.parts}).select(
+        "month", "part_id", "dealer_id", "combined_class", "annual_revenue")
+@query
+def stored_policies(s):
+    return _stored(s, policy_table(_policies(s), s.as_of), "analytics_reorder_policy", {"part_id": s.parts}).select(
+        "month", "effective_date", "part_id", "dealer_id", "safety_stock_qty", "reorder_point", "economic_order_qty", "max_stock_level")
+@query
+def stored_forecasts(s):
+    return _stored(s, forecast_table(forecast.naive_forecast(s.sales)), "fact_demand_forecast", {"part_id": s.parts}).select(
+        "month", "forecast_date", "part_id", "dealer_id", "forecast_qty", "model_used")
+@query
+def distinct_parts_sketch(s):
+    rows = s.sales.join(s.parts.select("part_id", "category"), "part_id").select("part_id", "category", "dealer_id", "transaction_date")
+    stored = materialize(sketches.distinct_sketches(rows, "part_id", ("category", "dealer_id")), "sketches")
+    return sketches.distinct_audit(rows, stored, "part_id", ("category",))
 @query
 def quality_unique(s): return quality.check_unique(s.purchase_orders, ["po_number", "po_line"])
 @query

@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from stocklens.functions.scalar import as_date, month_start, number_from_text
-from stocklens.schemas import PARTITION_DATE, PO_STUB_COLUMNS, TABLES, conform, struct_of
+from stocklens.operators.quality import check_foreign_key, check_unique
+from stocklens.schemas import PARTITION_DATE, PO_STUB_COLUMNS, PRIMARY_KEYS, TABLES, conform, struct_of
+from stocklens.sources.scratch import materialize
 
 log = logging.getLogger(__name__)
 
@@ -137,6 +139,45 @@ def write_table(df: DataFrame, table: str, folder: str, mode: str = "overwrite")
     return path
 
 
+def replace_months(
+    df: DataFrame, table: str, folder: str, references: Mapping[str, DataFrame] | None = None, keys: bool = True
+) -> dict[str, int]:
+    """Store a batch of a fact so that it replaces every month it brings, and no other; returns the rows by month.
+
+    Loading a batch again changes nothing, and a corrected batch replaces the months it corrects: each month lies in
+    a directory of its own, and only the directories of the batch are rewritten (dynamic partition overwrite). Before
+    anything is written, the batch is checked alone: its primary keys must be unique (``keys``), and its foreign keys,
+    a column -> dimension map, must be known. Rows without a date belong to no month and are refused as well. A dimension
+    has no months: it is replaced as a whole.
+    """
+    path = f"{folder.rstrip('/')}/{table}"
+    out = materialize(conform(df, table), f"batch_{table}")
+    problems = _violations(out, table, references or {}, keys)
+    if problems:
+        raise ValueError(f"{table}: " + ", ".join(f"{name} {n}" for name, n in sorted(problems.items())))
+    if table not in PARTITION_DATE:
+        out.write.mode("overwrite").option("compression", "snappy").parquet(path)
+        return {}
+    day = PARTITION_DATE[table]
+    dated = out.withColumn("month", month_start(day))
+    writer = dated.repartitionByRange("month", day, *_spread(table)).write.mode("overwrite")
+    writer.option("partitionOverwriteMode", "dynamic").option("compression", "snappy").partitionBy("month").parquet(path)
+    # A row a month of the batch.
+    return {str(r["month"]): r["count"] for r in dated.groupBy("month").count().collect()}
+
+
+def _violations(batch: DataFrame, table: str, references: Mapping[str, DataFrame], keys: bool) -> dict[str, int]:
+    """Numbers of repeated keys, unknown references and rows without a date; empty if the batch is sound."""
+    found = {}
+    for columns in PRIMARY_KEYS[table] if keys else ():
+        found[f"repeated {'+'.join(columns)}"] = check_unique(batch, columns).count()
+    for column, dim in references.items():
+        found[f"unknown {column}"] = check_foreign_key(batch, column, dim).count()
+    if table in PARTITION_DATE:
+        found["without date"] = batch.where(F.col(PARTITION_DATE[table]).isNull()).count()
+    return {name: n for name, n in found.items() if n}
+
+
 def _spread(table: str) -> list[str]:
     return [c for c in ("part_id", "dealer_id", "supplier_id") if c in TABLES[table].names]
 
