@@ -36,6 +36,8 @@ LONGEST = 3
 TOP = 2000
 #: Bits of the largest bitmap (16 MB); beyond about ten million phrases it lets more pass, with equal results.
 MAX_BITS = 1 << 27
+#: Text bytes that a task counts at a time: numbers of all phrases have to fit in the memory of a worker.
+CHUNK_BYTES = 2 << 20
 #: Rows that are broadcast after counting them; more are joined by shuffle.
 BROADCAST_ROWS = 200_000
 COUNTS = "lang string, shard int, phrase string, n bigint"
@@ -172,7 +174,7 @@ def _counts(width: int, filters: list[Broadcast | None], by_shard: bool, totals:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("lang", pa.string()), ("shard", pa.int32()), ("phrase", pa.string()), ("n", pa.int64())])
         bits = [None if f is None else f.value for f in filters]
-        for texts, rows in chunks(batches):
+        for texts, rows in chunks(batches, limit=CHUNK_BYTES):
             lang, shard = rows.column("lang").to_pylist(), rows.column("shard").to_pylist()
             names = list(zip(lang, shard if by_shard else [-1] * len(lang), strict=True))
             groups = {name: i for i, name in enumerate(dict.fromkeys(names))}
