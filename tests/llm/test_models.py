@@ -276,4 +276,4 @@ def test_pipeline_packs_every_kept_document(spark):
 
 
 def test_all_are_registered():
-    assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{i}" for i in range(1, 14)]
