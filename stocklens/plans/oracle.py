@@ -361,7 +361,7 @@ SELECT {_CLEAN}, CAST(year(day) AS INT) AS year, CAST(month(day) AS INT) AS mont
        CAST(isodow(day) - 1 AS INT) AS day_of_week, CASE WHEN isodow(day) >= 6 THEN 1 ELSE 0 END AS is_weekend,
        CAST(date_trunc('month', day) AS DATE) AS year_month
 FROM judged WHERE NOT outlier""", DIRTY)
-for _name in ("clean_csv_file", "clean_csv_stream"):
+for _name in ("clean_csv_file", "clean_csv_stream", "clean_csv_stream_batches"):
     add(_name, f"SELECT {_CLEAN} FROM judged WHERE NOT outlier", DIRTY)
 add("clean_sales_report", """
 SELECT "check", CAST(n AS BIGINT) AS affected_rows, action FROM (

@@ -281,6 +281,13 @@ def clean_csv_stream(s):
     _dirty_sales(s).write.csv(raw, header=True)
     clean_stream(s.spark, raw, out, state, "sales", columns=CLEAN_COLUMNS, as_of=s.as_of).awaitTermination()
     return read_cleaned(s.spark, out).select(*CLEAN_COLUMNS)
+@query
+def clean_csv_stream_batches(s):
+    """The same files, one to a micro-batch."""
+    raw, out, state = (_scratch(s, n) for n in ("stream_in", "stream_out", "stream_state"))
+    _dirty_sales(s).repartition(7).write.csv(raw, header=True)
+    clean_stream(s.spark, raw, out, state, "sales", columns=CLEAN_COLUMNS, max_files=1, as_of=s.as_of).awaitTermination()
+    return read_cleaned(s.spark, out).select(*CLEAN_COLUMNS)
 
 # ---------------------------------------------------------------- KPI queries
 @query

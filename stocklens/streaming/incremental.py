@@ -1,15 +1,15 @@
-"""Incremental cleaning: files arriving in a folder, cleaned per micro-batch."""
+"""Incremental cleaning: files arriving in a folder, taken in per micro-batch, merged when they are read."""
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructType
 
+from stocklens.config import DEFAULTS
 from stocklens.functions.scalar import number_from_text
-from stocklens.operators.cleaning import CLEANERS, SALES_DUPLICATE_KEY
+from stocklens.operators.cleaning import CLEANERS, clean_merged, first_sales
 from stocklens.schemas import struct_of
 
 
@@ -23,13 +23,13 @@ def clean_stream(
     max_files: int | None = None,
     **options,
 ) -> StreamingQuery:
-    """Clean every file not seen before, append the result as Parquet, then stop.
+    """Take in every file not seen before, append the result as Parquet, then stop.
 
-    Each micro-batch owns the directory ``batch_id=N`` and overwrites it, so a batch
-    that is replayed after a failure leaves one copy. Sales that an earlier batch
-    already stored are removed exactly, however late they arrive: an anti join
-    against the stored duplicate keys of the months in the batch (the month
-    directories of other periods are not read). Price limits are per batch.
+    Each micro-batch owns the directory ``batch_id=N`` and overwrites it, so a batch that is replayed after a failure
+    leaves one copy. Of sales a batch stores the state that cleaning needs (the first copy of each duplicate key and the
+    number of copies), by month. ``read_cleaned`` merges the states, so duplicates and price limits are those of
+    all files together, and do not depend on how many batches the files came in or in which order. Inventory is
+    cleaned row by row and stored clean.
     """
     if table_type not in CLEANERS:
         raise ValueError(f"Unknown table_type: {table_type}. Choose from {list(CLEANERS)}")
@@ -46,13 +46,11 @@ def clean_stream(
     typed = raw.select(*[number_from_text(c, types[c].simpleString()).alias(c) if c in types else F.col(c) for c in names])
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        clean = cleaner(batch, **options).clean
         if table_type == "sales":
-            clean = _unseen(clean, output_dir, batch_id)
-            clean = clean.withColumn("period", F.date_format("transaction_date", "yyyy-MM"))
-            writer = clean.write.partitionBy("period")
+            state = first_sales(batch, **options).withColumn("period", F.date_format("transaction_date", "yyyy-MM"))
+            writer = state.write.partitionBy("period")
         else:
-            writer = clean.write
+            writer = cleaner(batch, **options).clean.write
         writer.mode("overwrite").option("compression", "snappy").parquet(f"{output_dir.rstrip('/')}/batch_id={batch_id}")
 
     return (
@@ -60,21 +58,8 @@ def clean_stream(
     )
 
 
-def _unseen(clean: DataFrame, output_dir: str, batch_id: int) -> DataFrame:
-    """Rows whose duplicate key no earlier batch has stored."""
-    try:
-        stored = clean.sparkSession.read.parquet(output_dir)
-    except AnalysisException as exc:  # nothing stored yet
-        if exc.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return clean
-        raise
-    key = list(SALES_DUPLICATE_KEY)
-    earlier = stored.where(F.col("batch_id") < batch_id).withColumn("_month", F.to_date(F.concat("period", F.lit("-01"))))
-    months = clean.select(F.collect_set("year_month")).scalar()
-    return clean.join(earlier.where(F.array_contains(months, F.col("_month"))).select(*key), key, "left_anti")
-
-
-def read_cleaned(spark: SparkSession, output_dir: str) -> DataFrame:
-    """All batches as one table."""
-    df = spark.read.parquet(output_dir)
-    return df.drop("batch_id", "period")
+def read_cleaned(spark: SparkSession, output_dir: str, iqr_multiplier: float = DEFAULTS.iqr_multiplier) -> DataFrame:
+    """All batches as one cleaned table."""
+    stored = spark.read.parquet(output_dir)
+    stored = stored.drop("batch_id", "period")
+    return clean_merged(stored, iqr_multiplier) if "_copies" in stored.columns else stored

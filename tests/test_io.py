@@ -4,7 +4,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from stocklens.operators.cleaning import clean_file
+from stocklens.operators.cleaning import clean_file, clean_sales
 from stocklens.plans.pipeline import run_pipeline
 from stocklens.sources import files, scratch
 from stocklens.streaming.incremental import clean_stream, read_cleaned
@@ -101,6 +101,22 @@ def test_stream_is_incremental_and_exact_across_batches(spark, tmp_path):
     assert read_cleaned(spark, out).count() == 3
 
 
+def test_stream_does_not_depend_on_batches(spark, tmp_path):
+    rows = [line(f"2024-0{1 + i % 3}-0{1 + i % 7}", i % 4, price=10.0 + i % 9) for i in range(60)]
+    rows += [line("2024-01-01", 1, price=900.0), line("2024-01-09", 2, price=11.0), line("2024-01-09", 2, price=11.0)]
+    rows[-1][5], rows[-2][5] = 7, 3  # the smaller discount counts, in whichever batch it comes
+    for i in range(7):
+        write_csv(tmp_path / "in" / f"{i}.csv", rows[i::7])
+    found = []
+    for files_a_batch in (None, 1, 3):
+        out = str(tmp_path / f"out{files_a_batch}")
+        clean_stream(spark, str(tmp_path / "in"), out, str(tmp_path / f"state{files_a_batch}"), columns=HEADER, max_files=files_a_batch, as_of="2024-06-01").awaitTermination()
+        found.append(sorted(map(str, read_cleaned(spark, out).collect())))
+    assert found[0] == found[1] == found[2] and found[0]
+    whole = clean_sales(files.read_csv(spark, str(tmp_path / "in"), files.RAW_SALES).select(*HEADER), "2024-06-01").clean
+    assert sorted(map(str, whole.collect())) == found[0]
+
+
 def test_stream_of_inventory(spark, tmp_path):
     names = ["snapshot_date", "part_id", "dealer_id", "qty_on_hand", "qty_reserved", "qty_in_transit", "avg_unit_cost"]
     write_csv(tmp_path / "in" / "a.csv", [["2024-01-01", 1, 1, -4, 0, 0, 2.5], ["2024-01-01", 2, 1, 4, 0, 0, 0]], names)
