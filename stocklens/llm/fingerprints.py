@@ -27,11 +27,11 @@ PARAGRAPH_END = "\\n|(?<=[.!?;:|])\\s+"
 FOLD = 2
 #: Cells a row of a sketch for each digest that can differ, before rounding up to a power of two; no effect on
 #: results, only on how many pairs need a second attempt.
-SIZE = 0.75
+SIZE = 1.5
 #: Text of a task in code points: its sketches have to fit in memory.
-TASK_CHARS = 4_000_000
+TASK_CHARS = 2_000_000
 #: Peeling steps of one attempt, each over one of the three rows.
-STEPS = 15
+STEPS = 8
 #: Keys that are broadcast after counting them; more are joined by shuffle.
 BROADCAST_KEYS = 300_000
 _KEY = ["k1", "k2"]
@@ -143,15 +143,26 @@ def sketches(versions: DataFrame, names: list[str], attempt: int) -> DataFrame:
 def subtracted(cells: DataFrame, pairs: list[tuple[str, str]], folded: list[str]) -> DataFrame:
     """The state to be peeled (k1, k2, part, cell, n, x, c): the cells of each pair of versions subtracted, and the
     sketches of `folded` at 2^FOLD cells a row (parts -1, -2, ...)."""
-    place = F.col("row") + F.col("bits") * 8
-    made = []
-    for i, (a, b) in enumerate(pairs):
-        both = [(F.col(f"n_{a}") - F.col(f"n_{b}")).alias("n"), *[F.col(f"{k}_{a}").bitwiseXOR(F.col(f"{k}_{b}")).alias(k) for k in "xc"]]
-        made.append(F.struct((place + 4 * i).alias("part"), F.col("cell"), *both))
     small_cell = F.col("row") * (1 << FOLD) + F.col("cell").bitwiseAND(F.lit((1 << FOLD) - 1).cast("bigint"))
-    for i, name in enumerate(folded):
-        made.append(F.struct(F.lit(-1 - i).alias("part"), small_cell.alias("cell"), *[F.col(f"{k}_{name}").alias(k) for k in "nxc"]))
-    return _summed(cells.select(*_KEY, F.inline(F.array(*made))))
+    which = F.col("which")
+
+    def choice(values: list[Column]) -> Column:
+        out = F.when(which == 0, values[0])
+        for i, value in enumerate(values[1:], 1):
+            out = out.when(which == i, value)
+        return out
+
+    parts = [F.col("row") + F.col("bits") * 8 + 4 * i for i in range(len(pairs))] + [F.lit(-1 - i) for i in range(len(folded))]
+    differ = {
+        "n": [F.col(f"n_{a}") - F.col(f"n_{b}") for a, b in pairs] + [F.col(f"n_{f}") for f in folded],
+        **{k: [F.col(f"{k}_{a}").bitwiseXOR(F.col(f"{k}_{b}")) for a, b in pairs] + [F.col(f"{k}_{f}") for f in folded] for k in "xc"},
+    }
+    rows = cells.select("*", F.explode(F.array(*map(F.lit, range(len(parts))))).alias("which"))
+    state = rows.select(
+        *_KEY, choice(parts).alias("part"), F.when(which < len(pairs), F.col("cell")).otherwise(small_cell).alias("cell"),
+        *[choice(values).alias(k) for k, values in differ.items()],
+    )
+    return _summed(state)
 
 
 def _summed(state: DataFrame) -> DataFrame:
@@ -166,17 +177,23 @@ def peeled(state: DataFrame, steps: int = STEPS, tell: bool = True) -> DataFrame
     Without `tell` the digests are only counted: the fourth row has a single entry with their number."""
     x, c, n, part = (F.col(k) for k in ("x", "c", "n", "part"))
     bits = F.shiftright("part", 3)
+    zero, entry = F.lit(0).cast("bigint"), F.col("entry")
     for step in range(steps):
         row = step % 3
-        base = part - row
+        first, second = sorted({0, 1, 2} - {row})
         alone = (part >= 0) & (part.bitwiseAND(F.lit(3)) == row) & (F.abs(n) == 1) & (c == _check(x))
-        zero = F.lit(0).cast("bigint")
-        cell, times = (x, n) if tell else (zero, zero + 1)
-        out = [F.struct((base + _PEELED).alias("part"), cell.alias("cell"), times.alias("n"), zero.alias("x"), zero.alias("c"))]
-        for other in sorted({0, 1, 2} - {row}):
-            out.append(F.struct((base + other).alias("part"), _cell(x, other, bits).alias("cell"), (-n).alias("n"), x.alias("x"), c.alias("c")))
-        same = F.struct(part.alias("part"), F.col("cell"), n.alias("n"), x.alias("x"), c.alias("c"))
-        state = _summed(state.select(*_KEY, F.inline(F.when(alone, F.array(*out)).otherwise(F.array(same)))))
+        # A cell that holds one digest gives three entries: the digest (0), and what takes it out of its other cells.
+        rows = state.select("*", F.explode(F.when(alone, F.array(F.lit(0), F.lit(1), F.lit(2))).otherwise(F.array(F.lit(3)))).alias("entry"))
+        other = F.when(entry == 1, first).otherwise(second)
+        state = _summed(
+            rows.select(
+                *_KEY,
+                F.when(entry == 3, part).otherwise(part - row + F.when(entry == 0, _PEELED).otherwise(other)).alias("part"),
+                F.when(entry == 3, F.col("cell")).when(entry == 0, x if tell else zero).otherwise(_cell(x, other, bits)).alias("cell"),
+                F.when(entry == 3, n).when(entry == 0, n if tell else zero + 1).otherwise(-n).alias("n"),
+                *[F.when(entry == 0, zero).otherwise(v).alias(name) for name, v in (("x", x), ("c", c))],
+            )
+        )
     return state
 
 
