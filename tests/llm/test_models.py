@@ -268,6 +268,44 @@ def test_stages_keep_the_columns_and_handle_odd_rows(spark, docs, no_docs):
             assert made.columns == corpus_pipeline.COLUMNS if name != "best_fit_packing" else made.count() >= 0
 
 
+def test_near_duplicates_are_told_apart_by_id_and_text(spark):
+    a, b = " ".join(f"a{i}" for i in range(20)), " ".join(f"b{i}" for i in range(20))
+    rows = [(3, a), (5, b), (5, a), (5, b), (7, ""), (7, None), (7, b + " end"), (9, "alone"), (None, a), (None, a)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    kept = sorted(((r.doc_id, r.text) for r in corpus_pipeline.near_duplicates(spark, docs, SF).collect()), key=str)
+    assert [r for r in kept if r[0] is not None and r[0] != 7] == [(3, a), (5, b), (9, "alone")]
+    assert len([r for r in kept if r[0] == 7]) == 1 and not [r for r in kept if r[0] == 7][0][1]
+    assert len([r for r in kept if r[0] is None]) == 2
+
+
+def test_pages_lose_whole_blocks_of_their_host_only(spark):
+    """The whole query on 200 pages over three hosts against the rule, by brute force."""
+    rng = np.random.default_rng(5)
+    common = ["the", "of", "and", "to", "in"]
+    notices = [" ".join([f"notice{i}", *rng.choice(common, 7)]) for i in range(4)]
+    rows, expected = [], {}
+    for i in range(200):
+        host, marked = f"h{i % 3}.org", i % 2 == 0
+        prose = [" ".join(rng.choice([*common, *(f"w{i}x{j}" for j in range(6))], rng.integers(3, 40))) + f" end{i}x{k}" for k in range(4)]
+        blocks = [*prose[:2], notices[i % 4], *prose[2:], "Read more"] if i < 150 else prose
+        body = "".join(f"<p>{b}</p>" for b in blocks)
+        rows.append((i, f"http://{host}/{i}", f"<nav>Menu</nav><main>{body}</main>" if marked else f"<nav>Menu</nav>{body}"))
+        gone = {notices[i % 4]} | (set() if marked else {"Read more"})
+        expected[i] = " ".join(b for b in blocks if b not in gone)
+    for shard_texts in (5_000, 2):
+        out = pages.main_texts(spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(4), shard_texts).collect()
+        assert {r.page_id: r.text for r in out} == expected
+
+
+def test_unclosed_tags_take_linear_time():
+    import time
+
+    for tag in ("<nav>", "<div>", "<nav><main>", "<li>"):
+        began = time.process_time()
+        pages.blocks_of(tag * (500_000 // len(tag)) + "x")
+        assert time.process_time() - began < 5
+
+
 def test_pipeline_packs_every_kept_document(spark):
     docs = table(spark, SF, "documents")
     for _, stage in corpus_pipeline.STAGES[:-1]:

@@ -113,6 +113,43 @@ def test_components_of_many_variants(spark):
     assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in out) == brute_components(rows)
 
 
+@pytest.mark.parametrize("pivots", [0, 1, 3])
+def test_components_of_different_texts_with_a_common_passage(spark, monkeypatch, pivots):
+    random = np.random.default_rng(11)
+    own = lambda n: [f"v{x}" for x in random.integers(0, 10**9, n)]
+    passage, rows = own(40), []
+    for i in range(40):  # little in common but the passage
+        rows.append((i, " ".join(own(30) + passage + own(20))))
+    for i in range(6):  # mostly the passage: linked with each other
+        rows.append((50 + i, " ".join(passage + own(3))))
+    for group in range(4):  # near copies of a text that holds the passage, chained: the first and the last are not alike
+        words = own(60) + passage
+        for i in range(9):
+            words[i * 6 : i * 6 + 2] = own(2)
+            rows.append((100 * group + 60 + i, " ".join(words)))
+    docs = spark.createDataFrame([rows[i] for i in random.permutation(len(rows))], "doc_id bigint, text string").repartition(4)
+    monkeypatch.setattr(jaccard, "PIVOTS", pivots)
+    monkeypatch.setattr(jaccard, "BROADCAST_IDS", 5)
+    out = jaccard.jaccard_components(docs).collect()
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in out) == brute_components(rows)
+
+
+def test_rare_keys_of_similar_sets_meet(spark):
+    random = np.random.default_rng(12)
+    words = [f"w{x}" for x in random.integers(0, 10**6, 200)]
+    rows = [(i, " ".join(words[: 100 + i] + [f"x{i}"])) for i in range(12)] + [(50 + i, " ".join(words[150 + i :] + [f"y{i}"] * 9)) for i in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    nodes = docs.selectExpr("doc_id AS node", "doc_id", "xxhash64(text) AS text_hash")
+    of_key = defaultdict(set)
+    for r in jaccard.rare_keys(nodes, docs, 5, jaccard.THRESHOLD).collect():
+        of_key[r.key].add(r.node)
+    sets = {i: {tuple(w[j : j + 5]) for j in range(len(w) - 4)} for i, w in ((i, t.split()) for i, t in rows)}
+    for a, x in sets.items():
+        for b, y in sets.items():
+            if a < b and 100 * len(x & y) >= 80 * len(x | y):
+                assert any({a, b} <= group for group in of_key.values())
+
+
 def test_no_components_of_nothing(no_docs):
     assert jaccard.jaccard_components(no_docs).count() == 0
 
