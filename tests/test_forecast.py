@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 
-from stocklens.functions.smoothing import holt_winters, seasonal_ar
+from stocklens.functions.smoothing import fit_weights, holt_winters, seasonal_ar
 from stocklens.operators import forecast as fc
 
 
@@ -59,6 +59,16 @@ def test_smoothing_follows_trend_and_season():
     assert np.allclose(line, [14, 15, 16])
 
 
+@pytest.mark.parametrize("seasonal_", [True, False])
+def test_fitted_weights_are_never_worse_than_the_grid(seasonal_):
+    rng = np.random.default_rng(7)
+    n = rng.integers(24, 61, 40)
+    y = np.where(np.arange(60)[None, :] < n[:, None], rng.gamma(2.0, 20.0, (40, 60)) + 10 * np.sin(np.arange(60) / 2), 0.0)
+    theta, error, of_grid = fit_weights(y, n, seasonal_)
+    assert (error <= of_grid).all() and (error < of_grid * 0.999).mean() > 0.5
+    assert (theta[:, :3] >= 0).all() and (theta[:, :3] <= 1).all() and (seasonal_ or (theta[:, 2] == 0).all())
+
+
 def test_ragged_batch_equals_single_series():
     a, b = seasonal(60, 5, 1), seasonal(40, 5, 2)
     padded, n = np.zeros((2, 60)), np.array([60, 40])
