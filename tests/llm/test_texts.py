@@ -134,22 +134,6 @@ def test_components_of_different_texts_with_a_common_passage(spark, monkeypatch,
     assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in out) == brute_components(rows)
 
 
-def test_rare_keys_of_similar_sets_meet(spark):
-    random = np.random.default_rng(12)
-    words = [f"w{x}" for x in random.integers(0, 10**6, 200)]
-    rows = [(i, " ".join(words[: 100 + i] + [f"x{i}"])) for i in range(12)] + [(50 + i, " ".join(words[150 + i :] + [f"y{i}"] * 9)) for i in range(6)]
-    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
-    nodes = docs.selectExpr("doc_id AS node", "doc_id", "xxhash64(text) AS text_hash")
-    of_key = defaultdict(set)
-    for r in jaccard.rare_keys(nodes, docs, 5, jaccard.THRESHOLD).collect():
-        of_key[r.key].add(r.node)
-    sets = {i: {tuple(w[j : j + 5]) for j in range(len(w) - 4)} for i, w in ((i, t.split()) for i, t in rows)}
-    for a, x in sets.items():
-        for b, y in sets.items():
-            if a < b and 100 * len(x & y) >= 80 * len(x | y):
-                assert any({a, b} <= group for group in of_key.values())
-
-
 def test_no_components_of_nothing(no_docs):
     assert jaccard.jaccard_components(no_docs).count() == 0
 
