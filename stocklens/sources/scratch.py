@@ -40,3 +40,9 @@ def materialize(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def partitions(spark: SparkSession) -> int:
+    """Partitions of a table that is dealt by part before each part becomes many rows: several for each core, so that a task
+    sorts and groups its share in memory."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 16 * spark.sparkContext.defaultParallelism)

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stocklens.operators.key_day import key_day_state
-from stocklens.sources.scratch import materialize
+from stocklens.sources.scratch import materialize, partitions
 
 # Declared types: no footer has to be read to plan a query.
 SOURCES = {
@@ -147,10 +147,10 @@ class Star:
         seen = self.raw("lineitem").select(month).distinct()
         months = seen.select(F.array_sort(F.collect_list("m"))).scalar()
         dealers = self.raw("region").select(F.array_sort(F.collect_list("r_regionkey"))).scalar()
-        # Dealt to all cores while it is small: each part becomes a row per dealer and month.
+        # Dealt by part while it is small: each part becomes a row per dealer and month, and what is grouped by part stays in its task.
         grid = (
             self.raw("part")
-            .repartition(self.spark.sparkContext.defaultParallelism, "p_partkey")
+            .repartition(partitions(self.spark), "p_partkey")
             .select("p_partkey", "p_retailprice", F.explode(dealers).alias("dealer_id"))
             .select("*", F.explode(months).alias("snapshot_date"))
         )
