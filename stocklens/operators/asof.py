@@ -8,13 +8,14 @@ per chunk, a number bounded by the shuffle partitions.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stocklens.functions.scalar import KEYS
-from stocklens.sources.scratch import materialize
+from stocklens.sources.scratch import materialize, partitions
 
 _CHUNK, _TIME, _SIDE, _HELD, _TIE = "_chunk", "_time", "_side", "_held", "_tie"
 
@@ -74,6 +75,34 @@ def asof_join(
     return joined.select("r._row.*", *[found.getField(c).alias(f"{prefix}{c}") for c in columns])
 
 
+def asof_by_key(
+    left: DataFrame, right: DataFrame, left_time: str, right_time: str, columns: Sequence[str], keys: Sequence[str] = KEYS
+) -> DataFrame:
+    """What ``asof_join`` gives backward and inclusive, for keys that have few rows each: one window over a key's rows.
+
+    Rows of ``left`` are moved once, or not at all if both sides lie by the first key; nothing is written. Rows with
+    a null key stay out of the window. Rows of one key and time on the right are reduced before they travel.
+    """
+    keys = list(keys)
+    present = functools.reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    kind = left.schema[left_time].dataType
+    held = F.max(F.struct(*[F.col(c).alias(c) for c in columns])).alias(_HELD)
+    holds = right.where(present & F.col(right_time).isNotNull()).groupBy(*keys, F.col(right_time).cast(kind).alias(_TIME)).agg(held)
+    named = {f"_row_{c}": c for c in left.columns if c not in keys}
+    asks = left.where(present).select(
+        *keys, F.col(left_time).alias(_TIME), F.lit(1).alias(_SIDE), F.lit(None).cast(holds.schema[_HELD].dataType).alias(_HELD),
+        *[F.col(c).alias(r) for r, c in named.items()],
+    )
+    blank = [F.lit(None).cast(left.schema[c].dataType).alias(r) for r, c in named.items()]
+    holds = holds.repartition(partitions(left.sparkSession), keys[0]).select(*keys, _TIME, F.lit(0).alias(_SIDE), _HELD, *blank)
+    frame = Window.partitionBy(*keys).orderBy(F.col(_TIME).asc_nulls_first(), _SIDE).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    seen = asks.unionByName(holds).withColumn("_seen", F.last(_HELD, ignorenulls=True).over(frame)).where(F.col(_SIDE) == 1)
+    own = [F.col(c) if c in keys else F.col(f"_row_{c}").alias(c) for c in left.columns]
+    found = seen.select(*own, *[F.col("_seen").getField(c).alias(c) for c in columns])
+    none = [F.lit(None).cast(right.schema[c].dataType).alias(c) for c in columns]
+    return found.unionByName(left.where(~present).select(*left.columns, *none))
+
+
 def _carries(ranged: DataFrame, keys: list[str], forward: bool) -> DataFrame:
     """(chunk, keys, carry): what was last held of the first key of each chunk in the chunks before it.
 

@@ -25,7 +25,7 @@ from stocklens.functions.scalar import (
     stockout_status,
     year_month,
 )
-from stocklens.operators.asof import asof_join
+from stocklens.operators.asof import asof_by_key
 from stocklens.operators.key_day import is_state, line_aggregates
 from stocklens.operators.latest import last_event, latest_row
 from stocklens.operators.ordered import prefix_sum
@@ -309,7 +309,7 @@ def stockout_risk_history(inventory: DataFrame, policy: DataFrame, parts: DataFr
     Of two policies of one key and day the one with the greater reorder point counts, then the greater of its
     other columns."""
     stock = inventory.select(*KEYS, "snapshot_date", "qty_available", "qty_in_transit")
-    valid = asof_join(stock, policy, "snapshot_date", "effective_date", [*_POLICY_COLS, "effective_date"])
+    valid = asof_by_key(stock, policy, "snapshot_date", "effective_date", [*_POLICY_COLS, "effective_date"])
     return _with_risk(valid, parts, dealers, "snapshot_date", "effective_date")
 
 
