@@ -504,7 +504,7 @@ def future_label_counts(s): return future.label_counts(future.label_future_stock
 @query
 def future_label_folds(s):
     """The labelled snapshots in time order, cut into expanding folds: rows, stock-outs and days of each."""
-    labelled = future.label_future_stockout(s.inventory, s.state)
+    labelled = materialize(future.label_future_stockout(s.inventory, s.state), "labelled")
     folds = stockout.assign_folds(labelled, ["snapshot_date", "part_id", "dealer_id"])
     return folds.groupBy("fold").agg(
         F.count(F.lit(1)).alias("snapshots"), F.sum(future.FUTURE_COL).alias("stockouts"),
