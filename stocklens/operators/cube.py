@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from stocklens.functions.scalar import as_date, month_diff, month_start, num_round, safe_divide
 from stocklens.operators.key_day import is_state, line_aggregates
+from stocklens.sources.scratch import materialize, partitions
 
 Sets = Sequence[Sequence[str]]
 
@@ -142,12 +143,39 @@ def measure_cube(facts: DataFrame, measures: Mapping[str, Measure], by: Sequence
     sets = cube_sets(by) if sets is None else [list(s) for s in sets]
     rows, merges, distinct = _aggregates(measures)
     count = F.sum("_rows").alias("_rows")
-    fine = facts.groupBy(*dict.fromkeys([*by, *distinct])).agg(*rows, F.count(F.lit(1)).alias("_rows"))
-    # The distinct column is a row of its own in each group of a set, so counting its rows counts its values.
-    extra = [f"_d_{d}" for d in distinct]
-    split = fine.select("*", *[F.col(d).alias(e) for d, e in zip(distinct, extra, strict=True)])
-    level = F.shiftright(F.grouping_id(*by, *extra), len(extra)).alias("level")
-    merged = split.groupingSets([[*s, *extra] for s in sets], *by, *extra).agg(*merges, count, level)
-    if distinct:
-        merged = merged.groupBy(*by, "level").agg(*merges, count, *[F.count(e).alias(f"n_{d}") for d, e in zip(distinct, extra, strict=True)])
-    return merged.where("_rows > 0").select(*by, F.col("level").cast("int").alias("level"), *_finished(measures))
+    rows = [*rows, F.count(F.lit(1)).alias("_rows")]
+    level = F.grouping_id(*by).cast("int").alias("level")
+    if not distinct:
+        merged = facts.groupBy(*by).agg(*rows).groupingSets(sets, *by).agg(*merges, count, level)
+    else:
+        fine = _sums_and_values(facts, rows, by, distinct[0])
+        sums = fine.where("NOT _value").drop("_distinct", "_value").groupingSets(sets, *by).agg(*merges, count, level)
+        counts = _distinct_counts(fine.where("_value").select(*by, "_distinct"), by, sets, f"n_{distinct[0]}")
+        both = sums.unionByName(counts, allowMissingColumns=True)
+        merged = both.groupBy(*by, "level").agg(*merges, count, F.coalesce(F.sum(f"n_{distinct[0]}"), F.lit(0)).alias(f"n_{distinct[0]}"))
+    return merged.where("_rows > 0").select(*by, "level", *_finished(measures))
+
+
+def _sums_and_values(facts: DataFrame, rows: Sequence[Column], by: Sequence[str], distinct: str) -> DataFrame:
+    """The states of the finest groups (``_value`` false) and, as rows without states, each value of the distinct column
+    in them (``_distinct``, ``_value`` true). Both come from one pass over the facts and are written once.
+
+    So sums are reduced to groups before they are shuffled, and what is shuffled for a value is the value."""
+    twice = facts.withColumn("_distinct", F.col(distinct)).withColumn("_value", F.explode(F.array(F.lit(False), F.lit(True))))
+    twice = twice.where("NOT _value OR _distinct IS NOT NULL")
+    bare = {c: F.when(~F.col("_value"), F.col(c)) for c in facts.columns if c not in by}
+    told = twice.withColumns({**bare, "_distinct": F.when(F.col("_value"), F.col("_distinct"))})
+    return materialize(told.groupBy(*by, "_distinct", "_value").agg(*rows), "cube")
+
+
+def _distinct_counts(values: DataFrame, by: Sequence[str], sets: Sets, out: str) -> DataFrame:
+    """(by, level, out): the number of values in each group of each set.
+
+    The values are dealt by value while there is one row of each finest group, then expanded to the sets: the rows of
+    a value in a set meet in its task, so the expanded rows are not shuffled."""
+    dealt = values.repartition(partitions(values.sparkSession), "_distinct")
+    bits = {c: 1 << (len(by) - 1 - i) for i, c in enumerate(by)}
+    levels = [sum(bit for c, bit in bits.items() if c not in s) for s in sets]
+    one = dealt.select("*", F.explode(F.array(*[F.lit(n) for n in levels])).alias("level"))
+    kept = {c: F.when(F.col("level").bitwiseAND(F.lit(bit)) == 0, F.col(c)) for c, bit in bits.items()}
+    return one.withColumns(kept).select(*by, "level", "_distinct").distinct().groupBy(*by, "level").agg(F.count(F.lit(1)).alias(out))

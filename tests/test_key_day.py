@@ -83,6 +83,21 @@ def test_cube_finishes_ratios_and_distinct_counts_last(spark, sales):
         cube.measure_cube(facts, {"a": cube.Measure(F.lit(1), 0, distinct="part_id"), "b": cube.Measure(F.lit(1), 0, distinct="kind")}, by)
 
 
+def test_cube_counts_null_and_repeated_values_and_shuffles_no_expanded_rows(spark, sales):
+    facts = sales.withColumn("part_id", F.when(F.col("part_id") % 3 != 0, F.col("part_id"))).unionByName(sales.where("dealer_id = 1"))
+    by = ("dealer_id", "kind", "part_id")  # the counted column is a column of the cube as well
+    out = cube.measure_cube(facts, cube.sales_measures(facts), by)
+    for level, keys in ((0, by), (6, by[2:]), (1, by[:2]), (7, ())):
+        direct = facts.groupBy(*keys).agg(F.countDistinct("part_id").alias("parts_sold"), F.sum("qty_sold").alias("total_units_sold"))
+        part = out.where(f"level = {level}").select(*keys, "parts_sold", "total_units_sold")
+        assert rows(part) == rows(direct.select(part.columns))
+    values = facts.select(*by[:2], F.col("part_id").alias("_distinct"))
+    counts = cube._distinct_counts(values, by[:2], cube.cube_sets(by[:2]), "n")
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    groups, dealt = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]  # counts of groups, and below the values
+    assert "_distinct" not in groups and "_distinct" in dealt and "level" not in dealt
+
+
 def test_quantiles_of_any_values_are_exact(spark):
     random.seed(3)
     values = [0.0, -0.0, -5.5, 1e-300, 1e300, -1e300, 3.0, 3.0, 3.0000001, float("inf"), float("-inf")] + [random.gauss(0, 100) for _ in range(200)]
