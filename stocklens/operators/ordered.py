@@ -162,13 +162,22 @@ def exact_quantiles(
 def densify(df: DataFrame, keys: Sequence[str], period: str, value: str) -> DataFrame:
     """Fill every (key, observed period) pair, with 0 where the key has no row.
 
-    The observed periods are one small array (months, not rows), taken as a scalar
-    subquery and exploded per key; zero rows and data rows then meet in one
-    map-side-combined sum, so no cross join and no extra join are needed.
+    The observed periods are one small sorted array (months, not rows), taken as a scalar subquery. The rows of a key
+    are sorted by period, and each brings the periods between the row before it and itself, the last one also those
+    after it. So only the rows there are get shuffled and sorted; the zeros arise at the end and are held nowhere.
     """
     keys = list(keys)
     summed = df.groupBy(*keys, period).agg(F.sum(value).alias(value))
+    kind = summed.select(F.sum(value)).schema[0].dataType
     periods = df.select(period).distinct().select(F.array_sort(F.collect_list(period))).scalar()
-    zero = F.lit(0).cast(summed.schema[value].dataType)
-    zeros = summed.select(*keys).distinct().select(*keys, F.explode(periods).alias(period), zero.alias(value))
-    return summed.unionByName(zeros).groupBy(*keys, period).agg(F.sum(value).alias(value))
+    by_period = Window.partitionBy(*keys).orderBy(period)  # one row a period; a null period comes first, at place 0
+    placed = summed.withColumns({"_all": periods, "_at": F.coalesce(F.array_position(periods, F.col(period)), F.lit(0)).cast("int")})
+    seen = placed.withColumns({
+        "_before": F.coalesce(F.lag("_at").over(by_period), F.lit(0)),
+        "_last": F.lead("_at").over(by_period).isNull(),
+    })
+    gap = F.slice("_all", F.col("_before") + 1, F.greatest(F.col("_at") - F.col("_before") - 1, F.lit(0)))
+    rest = F.slice("_all", F.col("_at") + 1, F.when(F.col("_last"), F.size("_all") - F.col("_at")).otherwise(0))
+    filled = seen.select(*keys, F.col(period).alias("_own"), value, F.explode(F.concat(gap, F.array(period), rest)).alias(period))
+    own = F.when(F.col(period).isNull(), F.col(value)).otherwise(F.coalesce(F.when(F.col(period) == F.col("_own"), F.col(value)), F.lit(0)))
+    return filled.select(*keys, period, own.cast(kind).alias(value))

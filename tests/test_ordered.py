@@ -72,6 +72,19 @@ def test_densify(spark):
     assert got == [("a", 1, 5), ("a", 2, 0), ("a", 3, 2), ("b", 1, 0), ("b", 2, 7), ("b", 3, 0)]
 
 
+def test_densify_nulls_and_repeats_and_zeros_that_are_not_shuffled(spark):
+    rows = [("a", 3, 2), ("a", 1, None), ("a", None, 4), ("a", 3, 1), (None, 2, 7), ("c", None, None), ("d", 5, 0)]
+    df = spark.createDataFrame(rows, "k STRING, m INT, q INT")
+    dense = ordered.densify(df, ["k"], "m", "q")
+    sold = {("a", 3): 3, (None, 2): 7, ("a", None): 4, ("c", None): None}
+    expected = {(k, m): sold.get((k, m), 0) for k in ("a", None, "c", "d") for m in (1, 2, 3, 5)} | {g: sold[g] for g in (("a", None), ("c", None))}
+    got = [tuple(r) for r in dense.collect()]
+    assert len(got) == len(expected) and {(k, m): q for k, m, q in got} == expected
+    assert dense.schema["q"].dataType.simpleString() == "bigint"
+    plan = dense._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" in plan and "Exchange" not in plan[: plan.index("Generate")]
+
+
 def test_latest_row_keeps_nulls_and_last_non_null_does_not(spark):
     rows = [(1, 1, "2024-01-01", 5, 7), (1, 1, "2024-02-01", 6, None), (2, 1, "2024-01-15", None, 1)]
     df = spark.createDataFrame(rows, "part_id INT, dealer_id INT, d STRING, a INT, b INT")
