@@ -151,7 +151,7 @@ def stock_health(
             F.coalesce(num_round(safe_divide(F.col("qty_on_hand"), daily), 0), F.lit(9999.0)).alias("days_of_stock"),
             stock_health_status(F.col("qty_on_hand"), daily).alias("stock_health"),
         )
-        .orderBy(F.desc_nulls_first("days_of_stock"))
+        .orderBy(F.desc_nulls_first("days_of_stock"), "part_number", "dealer_name")  # most rows tie; names spread them over tasks
     )
 
 
@@ -300,7 +300,9 @@ def stockout_risk(
     """Latest available stock against the latest reorder policy."""
     stock = latest_row(inventory, "snapshot_date", ["qty_available", "qty_in_transit"], as_of=as_of)
     out = _with_risk(stock.join(latest_policy(policy, as_of).select(*KEYS, *_POLICY_COLS), list(KEYS), "left"), parts, dealers)
-    return out.orderBy(risk_rank(F.col("risk_level")), F.desc("is_critical")) if ordered else out
+    # Eight kinds of rows: the names spread those of one kind over tasks.
+    order = (risk_rank(F.col("risk_level")), F.desc("is_critical"), "part_number", "dealer_name")
+    return out.orderBy(*order) if ordered else out
 
 
 def stockout_risk_history(inventory: DataFrame, policy: DataFrame, parts: DataFrame, dealers: DataFrame) -> DataFrame:

@@ -155,3 +155,21 @@ def test_rows_after_as_of_are_not_seen(spark):
     assert kpi.fill_rate(sales, dealers, "2024-01-31").first()["total_order_lines"] == 1
     moved = kpi.stock_with_movement(stock, sales, "2024-01-31").first()
     assert (moved["qty_on_hand"], moved["days_no_movement"]) == (3, 21)
+
+
+def test_rows_of_one_rank_are_sorted_in_many_tasks(spark):
+    """Parts without demand tie in days of stock, rows of one risk level in the order of risk."""
+    n = 300
+    parts = spark.range(n).selectExpr("cast(id as int) part_id", "concat('P-', id) part_number", "'x' part_name", "'c' category", "false is_critical")
+    dealers = spark.createDataFrame([(1, "North")], "dealer_id INT, dealer_name STRING")
+    stock = spark.range(n).selectExpr("cast(id as int) part_id", "1 dealer_id", "date'2024-12-01' snapshot_date", "5 qty_on_hand", "5 qty_available",
+                                      "0 qty_in_transit", "1.0 total_stock_value")
+    sales = spark.createDataFrame([], "part_id INT, dealer_id INT, transaction_date DATE, qty_sold INT")
+    policy = spark.createDataFrame([], "part_id INT, dealer_id INT, reorder_point DOUBLE, safety_stock_qty DOUBLE, avg_daily_demand DOUBLE, avg_lead_time_days DOUBLE")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for out in (kpi.stock_health(stock, sales, parts, dealers, AS_OF), kpi.stockout_risk(stock, policy, parts, dealers)):
+            tasks = out.withColumn("_task", F.spark_partition_id()).groupBy("_task").count().collect()
+            assert len(tasks) > 4 and sum(r["count"] for r in tasks) == n
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
