@@ -23,7 +23,7 @@ from stocklens.functions.scalar import (
     xyz_band,
 )
 from stocklens.operators.ordered import densify, prefix_sum
-from stocklens.sources.scratch import materialize
+from stocklens.sources.scratch import materialize, partitions
 
 # Segment labels and recommended actions.
 ACTIONS = (
@@ -97,7 +97,8 @@ def classify_xyz(
 
     Zero months add nothing to a sum, so whole quantities need no zero rows at all:
     mean and variance follow exactly from the sum, the sum of squares and the
-    number of periods. Fractional quantities go through the dense form.
+    number of periods. Fractional quantities go through the dense form. The rows, a few for each key, are dealt by key,
+    to more tasks than a shuffle of Spark's choice has: a task holds them in hash maps twice.
     """
     keys = list(keys)
     if not isinstance(monthly.schema[value].dataType, IntegralType):
@@ -106,7 +107,8 @@ def classify_xyz(
         )
         return stats.withColumns(_xyz_from(F.col("_mean"), F.col("_std"), s)).drop("_mean", "_std")
     sums = (
-        monthly.groupBy(*keys, period).agg(F.sum(value).alias("_q"))
+        monthly.select(*keys, period, value).repartition(partitions(monthly.sparkSession), *keys)
+        .groupBy(*keys, period).agg(F.sum(value).alias("_q"))
         .groupBy(*keys).agg(F.sum("_q").alias("_s"), F.sum(square(F.col("_q"))).alias("_qq"))
     )
     periods = monthly.select(period).distinct().select(F.count(period)).scalar()

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from stocklens.operators.classify import abc_xyz, abc_xyz_summary, action_matrix, classify_abc, classify_xyz, with_actions
 from stocklens.schemas import abc_xyz_table
+from stocklens.sources.scratch import partitions
 
 
 def abc_of(spark, values, **kw):
@@ -107,3 +108,12 @@ def test_windows_of_many_years(spark):
 def test_action_matrix(spark):
     rows = action_matrix(spark).collect()
     assert {r["combined_class"] for r in rows} == {a + x for a in "ABC" for x in "XYZ"} and len(rows) == 9
+
+
+def test_xyz_deals_rows_by_key_to_many_tasks(spark):
+    monthly = spark.createDataFrame([(k, m, k + m) for k in range(50) for m in range(4)] + [(None, 1, 3), (1, 1, 2)], "part_id int, month int, qty_sold int")
+    out = classify_xyz(monthly, ["part_id"], "month")
+    dealt = [line for line in out._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning" in line and "part_id" in line]
+    assert len(dealt) == 1 and f", {partitions(spark)})" in dealt[0] and "month" not in dealt[0]
+    means = {r.part_id: r.avg_monthly_demand for r in out.collect()}
+    assert means[None] == 0.75 and means[1] == 12 / 4 and means[2] == 14 / 4 and len(means) == 51
