@@ -14,7 +14,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stocklens.sources.scratch import materialize
+from stocklens.sources.scratch import materialize, partitions
 
 _CHUNK = "_chunk"
 
@@ -164,10 +164,11 @@ def densify(df: DataFrame, keys: Sequence[str], period: str, value: str) -> Data
 
     The observed periods are one small sorted array (months, not rows), taken as a scalar subquery. The rows of a key
     are sorted by period, and each brings the periods between the row before it and itself, the last one also those
-    after it. So only the rows there are get shuffled and sorted; the zeros arise at the end and are held nowhere.
+    after it. So only the rows there are get shuffled (once, by key) and sorted; the zeros arise at the end and are held
+    nowhere. Give it sums by period, which are few a key, not facts.
     """
     keys = list(keys)
-    summed = df.groupBy(*keys, period).agg(F.sum(value).alias(value))
+    summed = df.select(*keys, period, value).repartition(partitions(df.sparkSession), *keys).groupBy(*keys, period).agg(F.sum(value).alias(value))
     kind = summed.select(F.sum(value)).schema[0].dataType
     periods = df.select(period).distinct().select(F.array_sort(F.collect_list(period))).scalar()
     by_period = Window.partitionBy(*keys).orderBy(period)  # one row a period; a null period comes first, at place 0
