@@ -4,7 +4,7 @@ import datetime as dt
 
 import pytest
 
-from stocklens.operators import sketches
+from stocklens.operators import quality, sketches
 from stocklens.sources import files
 
 
@@ -29,6 +29,17 @@ def test_a_batch_replaces_its_months_and_no_other(spark, tmp_path):
     assert len(stored(spark, folder)) == 3
 
 
+def test_a_large_batch_has_more_ranges_and_its_keys_are_counted_in_many_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "RANGE_ROWS", 2)
+    rows = [(i, f"2024-01-{1 + i % 28:02d}", i, i) for i in range(60)]
+    assert files.replace_months(sales(spark, rows), "fact_sales", f"file://{tmp_path}") == {"2024-01-01": 60}
+    assert stored(spark, f"file://{tmp_path}") == sorted((i, d, q) for i, d, _, q in rows)
+    assert len(list((tmp_path / "fact_sales" / "month=2024-01-01").glob("*.parquet"))) > 8  # the shuffle partitions of the tests
+    plan = quality.check_unique(sales(spark, rows), ["sale_id"])._jdf.queryExecution().executedPlan().toString().splitlines()
+    dealt = next(i for i, line in enumerate(plan) if "Exchange hashpartitioning" in line)
+    assert [line for line in plan[dealt:] if "HashAggregate" in line] == []
+
+
 def test_an_unsound_batch_is_refused_whole(spark, tmp_path):
     folder = f"file://{tmp_path}"
     parts = spark.createDataFrame([(1,)], "part_id int")
