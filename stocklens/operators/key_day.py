@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from stocklens.functions.scalar import KEYS, as_date, month_start
+from stocklens.sources.scratch import partitions
 
 DAY = "transaction_date"
 #: Sales lines behind a row of the state; a frame with this column is a state.
@@ -35,8 +36,12 @@ def key_day_state(sales: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     ``qty_lines`` and ``qty_squares`` are count and sum of squares of the line quantities, ``net`` is quantity x
     price x (100 - discount), exact for decimals. Null quantities and amounts add nothing; columns that the sales
     lack are left out. Whole numbers and decimals make the state independent of how it is cut into batches.
+
+    Lines are dealt before they are added up: few share a key and a day, and a line is less than half as wide as its sums.
     """
     have = set(sales.columns)
+    keys = [*KEYS, DAY, *by]
+    used = [c for c in sales.columns if c in {*keys, *SUMS, "was_fulfilled", "unit_price", "discount_pct"}]
     qty = F.col("qty_sold").cast("bigint")
     sums = [F.sum(qty if c == "qty_sold" else F.col(c)).alias(c) for c in SUMS if c in have]
     sums += [F.count(F.lit(1)).alias(LINES), F.count(qty).alias("qty_lines"), F.sum(qty * qty).alias("qty_squares")]
@@ -44,7 +49,11 @@ def key_day_state(sales: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         sums += [F.count_if("was_fulfilled").alias("filled"), F.count_if(~F.col("was_fulfilled")).alias("missed")]
     if {"unit_price", "discount_pct"} <= have:
         sums.append(F.sum(F.col("qty_sold") * F.col("unit_price") * (F.lit(100) - F.col("discount_pct"))).alias("net"))
-    return sales.groupBy(*KEYS, DAY, *by).agg(*sums)
+    return _dealt(sales.select(*used), keys).groupBy(*keys).agg(*sums)
+
+
+def _dealt(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return rows.repartition(partitions(rows.sparkSession), *keys)
 
 
 def _numbers(state: DataFrame, keys: Sequence[str]) -> list[str]:
@@ -55,7 +64,7 @@ def merge_states(state: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Rows of one key and day added up; types stay those of ``state``."""
     keys = [*KEYS, DAY, *by]
     sums = [F.sum(c).cast(state.schema[c].dataType).alias(c) for c in _numbers(state, keys)]
-    return state.groupBy(*keys).agg(*sums)
+    return _dealt(state.select(*keys, *_numbers(state, keys)), keys).groupBy(*keys).agg(*sums)
 
 
 # ---------------------------------------------------------------- the stored state
@@ -65,7 +74,7 @@ def write_batch(state: DataFrame, folder: str, batch: str) -> None:
     A batch owns its directory: loading it again replaces it, so a repeated load changes nothing and a corrected
     batch leaves nothing of the old one. Days that several batches bring are added up when they are read.
     """
-    out = state.withColumn(_MONTH, month_start(DAY)).repartitionByRange(_MONTH, DAY, *KEYS)
+    out = state.withColumn(_MONTH, month_start(DAY)).repartitionByRange(partitions(state.sparkSession), _MONTH, DAY, *KEYS)
     out.write.mode("overwrite").option("compression", "snappy").partitionBy(_MONTH).parquet(f"{folder.rstrip('/')}/{_BATCH}={batch}")
 
 

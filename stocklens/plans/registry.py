@@ -338,7 +338,8 @@ def demand_windows_earlier(s): return features.demand_windows(s.sales, as_of=_ea
 def _stored_state(s: Star) -> DataFrame:
     """The state of two batches that share every part, dealer and day, the second one loaded twice."""
     folder, late = _scratch(s, "key_day"), F.col("order_source").isin("1-URGENT", "2-HIGH")
-    states = [key_day.key_day_state(s.sales.where(rows)) for rows in (~late, late)]
+    both = materialize(key_day.key_day_state(s.sales.withColumn("_late", late), ("_late",)), "batches")  # the sales are read once
+    states = [both.where(rows).drop("_late") for rows in ("NOT _late", "_late")]
     for state, batch in ((states[0], "a"), (states[1], "b"), (states[1], "b")):
         key_day.write_batch(state, folder, batch)
     return key_day.read_state(s.spark, folder, states[0].schema)

@@ -8,6 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from stocklens.operators import classify, cube, features, key_day, kpi, measures, ordered, replenish
+from stocklens.plans import registry
+from stocklens.sources.scratch import partitions
 
 DAY = dt.date(2024, 1, 1)
 SCHEMA = """transaction_date date, part_id int, dealer_id int, qty_sold int, unit_price decimal(12,2), discount_pct decimal(5,2),
@@ -123,3 +125,26 @@ def test_buckets_never_fall(spark):
     df = spark.createDataFrame([(v,) for v in values], "v double").coalesce(1)
     buckets = [r.b for r in df.select("v", ordered.magnitude_bucket("v").alias("b")).orderBy("v").collect()]
     assert buckets == sorted(buckets)
+
+
+def test_state_deals_lines_and_two_batches_read_the_sales_once(spark, sales):
+    plan = key_day.key_day_state(sales)._jdf.queryExecution().executedPlan().toString().splitlines()
+    dealt = next(i for i, line in enumerate(plan) if "Exchange hashpartitioning" in line)
+    assert f", {partitions(spark)})" in plan[dealt]
+    assert [line for line in plan[dealt:] if "HashAggregate" in line] == []  # lines are shuffled, not their wider sums
+
+    lines, session = sales, spark
+
+    class Read:
+        spark, times = session, 0
+
+        @property
+        def sales(self):
+            Read.times += 1
+            kind = F.pmod(F.hash("unit_price"), F.lit(4))
+            return lines.withColumn("order_source", F.when(kind == 0, "1-URGENT").when(kind == 1, "2-HIGH").when(kind == 2, "5-LOW"))
+
+    known = Read().sales.where("order_source IS NOT NULL")  # as before, lines without a source are in no batch
+    Read.times = 0
+    stored = registry._stored_state(Read())
+    assert Read.times == 1 and rows(stored) == rows(key_day.key_day_state(known))
