@@ -134,6 +134,18 @@ def test_components_of_different_texts_with_a_common_passage(spark, monkeypatch,
     assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in out) == brute_components(rows)
 
 
+def test_a_pair_with_many_common_keys_is_made_once(spark):
+    random = np.random.default_rng(5)
+    nodes = [(i, 100, [int(x) for x in random.integers(0, 2, 2)]) for i in range(12)]  # sketches that let every pair pass
+    common = [(int(k), i, i) for k in random.permutation(30) for i in range(12) if (i + k) % 4]
+    alone = [(100 + i, i, i) for i in range(12)] + [(200, 12, 12), (200, 0, 0)]  # the least keys of 0 do not hold 200
+    members = spark.createDataFrame(common + alone, "key bigint, node bigint, label bigint")
+    info = spark.createDataFrame([*nodes, (12, 100, [1, 0])], "node bigint, n_shingles bigint, sketch array<bigint>")
+    made = [(r.a, r.b) for r in jaccard._meetings(members, info, jaccard.THRESHOLD).collect()]
+    assert sorted(made) == sorted([(a, b) for a in range(12) for b in range(a)] + [(12, 0)])
+    assert {(r.a, r.b) for r in jaccard._across(members, info, jaccard.THRESHOLD).collect()} == set(made)
+
+
 def test_no_components_of_nothing(no_docs):
     assert jaccard.jaccard_components(no_docs).count() == 0
 
