@@ -13,6 +13,7 @@ import pytest
 import corpus_pipeline
 from stocklens.llm import lm, mtree, pages, quality, queries, toxicity
 from stocklens.llm.common import table
+from stocklens.llm.subwords import of_ranks
 
 SF = "/root/testdata/sf0.001"
 RANKS, PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
@@ -85,6 +86,24 @@ def test_base_scores_are_exact_and_scores_are_probabilities(docs, no_docs, rows)
     assert lm.lm_scores(no_docs, RANKS, PATTERN).count() == 0
 
 
+def test_mixture_and_attention_learn_from_every_word(spark):
+    training = [i for i in range(20) if crc(i, 7) != 2][:8]
+    rare = ["".join(chr(97 + (i * 7 + k * k * (i + 3)) % 26) for k in range(9)) for i in range(64)]
+    # One rare word in each of the 64 chunks of the first text; no text is long enough that any part may be left out.
+    rows = [(training[0], " ".join(f"{w}{' plain' * (lm.CHUNK - 1)}" for w in rare))] + [(i, f"Other text, of {i} words.") for i in training[1:]] + [(None, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
+    model = lm.fit_model(docs, RANKS, PATTERN)
+    pieces = of_ranks(RANKS, PATTERN)
+    unseen = model.log_theta.max(1).min()
+    assert all((model.log_theta[pieces.flat([f" {w}"])[0]].max(1) > unseen + 1).all() for w in rare)
+    descent = lm.Descent(model.net)
+    chunks = [(True, True, (t or "").lower().encode().split()) for _, t in docs.collect()]
+    descent.over(*lm.examples(model, chunks), lm.PASS_RATE)
+    passed = lm.net_pass(model, docs, lm.PASS_RATE)
+    assert all(np.allclose(passed[n], p, atol=1e-5) for n, p in descent.net.items())
+    assert any(not np.allclose(passed[n], p, atol=1e-5) for n, p in model.net.items())
+
+
 def test_gradients_are_those_of_the_loss():
     rng = np.random.default_rng(0)
     n = 41
