@@ -316,6 +316,62 @@ def test_pages_lose_whole_blocks_of_their_host_only(spark):
         assert {r.page_id: r.text for r in out} == expected
 
 
+def _by_rule(rows):
+    """Main texts by the rule: every run of every judged block is counted."""
+    run, judged, runs, wholes = pages.RUN_TOKENS, {}, {}, {}
+    windows = lambda b: [tuple(b.split(" ")[i : i + run]) for i in range(b.count(" ") + 2 - run)]
+    for page, url, source in rows:
+        article, loose, _, found = pages.blocks_of(source)
+        judged[page] = (url.split("/")[2], found, article if found else loose)
+        for block in judged[page][2]:
+            if not found or windows(block):  # few words count on unmarked pages alone
+                wholes.setdefault((judged[page][0], block), set()).add(page)
+            for window in windows(block):
+                runs.setdefault((judged[page][0], window), set()).add(page)
+
+    def goes(host, marked, block):
+        here = windows(block)
+        if len(wholes.get((host, block), ())) >= pages.RUN_PAGES:
+            return bool(here) or not marked
+        often = [len(runs[host, w]) >= pages.RUN_PAGES for w in here]
+        n = block.count(" ") + 1
+        return not marked and bool(here) and all(any(often[max(0, t - run + 1) : t + 1]) for t in range(n))
+
+    return {page: " ".join(b for b in blocks if not goes(host, marked, b)) for page, (host, marked, blocks) in judged.items()}
+
+
+@pytest.mark.parametrize("in_article", [False, True])
+def test_runs_count_wherever_they_stand_in_a_block(spark, in_article):
+    """A block made of runs that elsewhere only stand inside of other blocks goes as well."""
+    parts = [" ".join(f"{c}{j}" for j in range(8)) for c in "abc"]
+    held = lambda i, part: f"<p>Lead{i} in {part} end{i}</p>"
+    wrap = "<article>{}</article>" if in_article else "{}"
+    rows = [(i, f"http://h.org/{i}", wrap.format("".join(held(f"{i}x{k}", p) for k, p in enumerate(parts[: 2 + i // 3])))) for i in range(4)]
+    rows += [(10, "http://h.org/a", f"<p>Own words {10}</p><p>{parts[0]} {parts[1]}</p><p>{parts[1]} {parts[2]}</p>")]
+    rows += [(11, "http://o.org/a", f"<p>{parts[0]} {parts[1]}</p>"), (12, "http://h.org/b", f"<article>{parts[1]} {parts[0]}</article>")]
+    expected = _by_rule(rows)
+    assert expected[10] == f"Own words 10 {parts[1]} {parts[2]}" and expected[12] and expected[11]
+    for shard_texts in (5_000, 2):
+        out = pages.main_texts(spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(3), shard_texts).collect()
+        assert {r.page_id: r.text for r in out} == expected
+
+
+def test_pages_of_common_words_follow_the_rule(spark, monkeypatch):
+    """Random blocks of few words, in which runs recur at any place, against the rule, by brute force."""
+    rng = np.random.default_rng(11)
+    phrases = [" ".join(rng.choice(list("abcdef"), rng.integers(4, 9))) for _ in range(12)]
+    rows = []
+    for i in range(60):
+        blocks = [" ".join(rng.choice(phrases, rng.integers(1, 5))) for _ in range(5)]
+        body = "".join(f"<p>{b}</p>" for b in [*blocks, f"Page {i}"])
+        rows.append((i, f"http://h{i % 2}.org/{i}", f"<main>{body}</main>" if i % 3 == 0 else body))
+    expected = _by_rule(rows)
+    monkeypatch.setattr(pages, "FILTER_RUNS", 40)  # hosts are looked through in turns
+    for shard_texts in (5_000, 7):
+        out = pages.main_texts(spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(3), shard_texts).collect()
+        assert {r.page_id: r.text for r in out} == expected
+
+
 def test_unclosed_tags_take_linear_time():
     import time
 
