@@ -139,20 +139,21 @@ class Star:
     def inventory(self) -> DataFrame:
         """A month-start snapshot per part and dealer for every month of sales.
 
-        Dealers (one per region) and months are short arrays taken as scalar
-        subqueries and exploded per part: the snapshot table is generated in
-        parallel over parts, without a join.
+        Dealers (one per region) are a short array taken as a scalar subquery and
+        exploded per part, months a few rows sent to every task: the snapshot table is
+        generated in parallel over parts. Spark takes rows made by ``explode`` for as
+        large as the rows they come from, so that the latest stock of all parts passed
+        for a table small enough to broadcast; by a join it knows that they are many.
         """
-        month = F.trunc(F.col("l_shipdate").cast("date"), "MM").alias("m")
-        seen = self.raw("lineitem").select(month).distinct()
-        months = seen.select(F.array_sort(F.collect_list("m"))).scalar()
+        month = F.trunc(F.col("l_shipdate").cast("date"), "MM").alias("snapshot_date")
+        months = F.broadcast(self.raw("lineitem").select(month).where("snapshot_date IS NOT NULL").distinct())
         dealers = self.raw("region").select(F.array_sort(F.collect_list("r_regionkey"))).scalar()
         # Dealt by part while it is small: each part becomes a row per dealer and month, and what is grouped by part stays in its task.
         grid = (
             self.raw("part")
             .repartition(partitions(self.spark), "p_partkey")
             .select("p_partkey", "p_retailprice", F.explode(dealers).alias("dealer_id"))
-            .select("*", F.explode(months).alias("snapshot_date"))
+            .crossJoin(months)
         )
         part, dealer = F.col("p_partkey"), F.col("dealer_id")
         mo = F.year("snapshot_date") * 12 + F.month("snapshot_date")
